@@ -47,7 +47,7 @@ def grouped(docs: DataFrame, lay: Layout, id_col: str, text_col: str, keep: tupl
         F.pmod(F.xxhash64(key), F.lit(lay.groups)).cast("int").alias(GROUP),
         key.alias("doc_id"),
         F.col(f"`{text_col}`").cast("string").alias("text"),
-        *[F.col(f"`{c}`") for c in keep],
+        *[F.col(f"`{c}`").alias(f"__kept_{c}") for c in keep],
     )
 
 

@@ -1,10 +1,14 @@
 """Queries of the corpus operators and their DuckDB SQL, where SQL can express and afford them."""
 
-from tenderlake.llm import substring_dedup
+from tenderlake.llm import jaccard_join, line_dedup, substring_dedup
 
 
 def queries() -> dict:
-    return {"op1_substring_dedup": substring_dedup.query}
+    return {
+        "op1_substring_dedup": substring_dedup.query,
+        "op4_line_dedup": line_dedup.query,
+        "op5_jaccard_join": jaccard_join.query,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

@@ -120,7 +120,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 own = w.data[w.starts[i] : w.ends[j - 1]].tobytes().split() if j > i else []
                 kept.append(b" ".join(own if left == j - i else itertools.compress(own, rest)))
         new = {"doc_id": table["doc_id"], "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_text": pa.array(kept, pa.binary()).cast(pa.string())}
-        return pa.table(new | {c: table[c] for c in keep})
+        return pa.table(new | {c: table[f"__kept_{c}"] for c in keep})
 
     hits = G.shared(dealt.groupBy(G.GROUP).applyInArrow(anchors, G.PACKED), need_mark=True)
     plain = dealt.select(G.GROUP, "doc_id", "text") if keep else dealt

@@ -40,6 +40,7 @@ class Words:
     ends: np.ndarray
     doc: np.ndarray  #: ordinal of the text that holds the word
     first: np.ndarray  #: ordinal of each text's first word, and at last the number of words
+    begin: np.ndarray  #: byte at which each text begins, and at last their end
 
     def hashes(self) -> np.ndarray:
         view = np.ndarray((len(self.data) - 7,), "<u8", self.data, strides=(1,))
@@ -84,7 +85,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Word
     ends = np.flatnonzero(before & (fresh | ~inside))
     doc = np.searchsorted(offsets, starts, "right") - 1
     first = np.searchsorted(starts, offsets)
-    return Words(padded, starts, ends, doc, first)
+    return Words(padded, starts, ends, doc, first, offsets)
 
 
 def slices(offsets: np.ndarray, most: int = 4 << 20):
