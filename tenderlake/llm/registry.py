@@ -1,6 +1,6 @@
 """Queries of the corpus operators and their DuckDB SQL, where SQL can express and afford them."""
 
-from tenderlake.llm import jaccard_join, line_dedup, substring_dedup
+from tenderlake.llm import bpe_transducer, fingerprints, jaccard_join, line_dedup, substring_dedup, token_counts
 
 
 def queries() -> dict:
@@ -8,6 +8,9 @@ def queries() -> dict:
         "op1_substring_dedup": substring_dedup.query,
         "op4_line_dedup": line_dedup.query,
         "op5_jaccard_join": jaccard_join.query,
+        "op7_token_counts": token_counts.query,
+        "op9_bpe_transducer": bpe_transducer.query,
+        "op10_fingerprints": fingerprints.query,
     }
 
 
