@@ -1,14 +1,17 @@
 """Queries of the corpus operators and their DuckDB SQL, where SQL can express and afford them."""
 
-from tenderlake.llm import bpe_transducer, fingerprints, jaccard_join, line_dedup, substring_dedup, token_counts
+from tenderlake.llm import bpe_transducer, fingerprints, jaccard_join, language_id, line_dedup, packing, quality, substring_dedup, token_counts
 
 
 def queries() -> dict:
     return {
         "op1_substring_dedup": substring_dedup.query,
+        "op2_language_id": language_id.query,
         "op4_line_dedup": line_dedup.query,
         "op5_jaccard_join": jaccard_join.query,
+        "op6_packing": packing.query,
         "op7_token_counts": token_counts.query,
+        "op8_quality": quality.query,
         "op9_bpe_transducer": bpe_transducer.query,
         "op10_fingerprints": fingerprints.query,
     }
