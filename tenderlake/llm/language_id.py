@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenderlake.llm.storage import materialize
+from tenderlake.llm.storage import Scratch
 from tenderlake.llm.token_counts import portions
 from tenderlake.llm.words import mix
 
@@ -168,12 +168,17 @@ def train(rows: DataFrame, sample_rows: int = 8000, shards: int = 8, passes: int
 
     label = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("lang")).cast("int") - 1
     shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards + 2)).cast("int")  # the last two calibrate
-    examples = materialize(sample.select(shard.alias("shard"), label.alias("label"), "text").mapInArrow(vectors, "shard int, label int, features binary, vals binary"), "ngrams")
-    model = FTRL(len(languages))
+    with Scratch(rows.sparkSession, "ngrams") as scratch:
+        return languages, idf, *_train(scratch.table(sample.select(shard.alias("shard"), label.alias("label"), "text").mapInArrow(vectors, "shard int, label int, features binary, vals binary"), "ngrams"), len(languages), shards, passes)
+
+
+def _train(examples: DataFrame, classes: int, shards: int, passes: int) -> tuple[np.ndarray, float]:
+    """Weights and temperature from sparse vectors."""
+    model = FTRL(classes)
 
     def learn(z: np.ndarray, n: np.ndarray):
         def run(table: pa.Table) -> pa.Table:
-            own = FTRL(len(languages))
+            own = FTRL(classes)
             own.z, own.n = z.copy(), n.copy()
             rows = sorted(zip(table["label"].to_pylist(), table["features"].to_pylist(), table["vals"].to_pylist()), key=lambda r: r[1:])
             for i in np.random.default_rng(7).permutation(len(rows)):
@@ -190,7 +195,7 @@ def train(rows: DataFrame, sample_rows: int = 8000, shards: int = 8, passes: int
     held = examples.where(F.col("shard") >= shards).collect()  # a fifth of the bounded sample
     logits = [np.frombuffer(r.vals, "<f4") @ weights[np.frombuffer(r.features, "<i4")] for r in held]
     temperature = best_temperature(np.array(logits), np.array([r.label for r in held])) if held else 1.0
-    return languages, idf, weights.astype(np.float32), temperature
+    return weights.astype(np.float32), temperature
 
 
 def identify(docs: DataFrame, learn_from: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.llm import words as W
 from tenderlake.llm.groups import runs
-from tenderlake.llm.storage import materialize
+from tenderlake.llm.storage import Scratch, materialize
 
 FOURIER, BINS, RIDGE, FOLDS = 256, 2048, 1.0, 4
 LOW, HIGH = -0.5, 1.5
@@ -135,7 +135,11 @@ def isotonic(x: np.ndarray, weight: np.ndarray, total: np.ndarray) -> tuple[np.n
 
 def fit(stats: DataFrame, labels: DataFrame):
     """labels: doc_id, label (0 or 1), fold (0 to FOLDS - 1). Fourier map, weights and isotonic curve; None without labels."""
-    labelled = materialize(stats.join(labels, "doc_id").select("fold", "label", "stats"), "labelled")
+    with Scratch(stats.sparkSession, "labelled") as scratch:
+        return _fit(scratch.table(stats.join(labels, "doc_id").select("fold", "label", "stats"), "labelled"))
+
+
+def _fit(labelled: DataFrame):
     positions = labelled.select(F.posexplode("stats").alias("k", "v"))
     moments = positions.groupBy("k").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("dev")).orderBy("k").collect()  # a row for each statistic
     if not moments:
@@ -188,16 +192,32 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def predict(batches):
         for batch in batches:
-            if model is None:
-                p = np.full(batch.num_rows, 0.5)
-            else:
-                features, weights, curve = model
-                p = np.interp(features(matrix(batch)) @ weights, *curve)
+            p = probability(model, matrix(batch))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.clip(p, 0, 1)), pa.array((p >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     return stats.mapInArrow(predict, "doc_id long, score double, predicted int")
 
 
+def probability(model, x: np.ndarray) -> np.ndarray:
+    if model is None:
+        return np.full(len(x), 0.5)
+    features, weights, curve = model
+    return np.interp(features(x) @ weights, *curve)
+
+
+def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches the threshold. No row is shuffled."""
+    with Scratch(docs.sparkSession, "quality") as scratch:
+        model = fit(scratch.table(stats_table(docs, id_col, text_col), "stats"), labels)
+
+    def choose(batches):
+        for batch in batches:
+            good = probability(model, statistics(batch.column(text_col))) >= threshold
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(choose, docs.schema)
+
+
 def crc(column) -> F.col:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")), F.lit(0))
 

@@ -1,12 +1,13 @@
 """Queries of the corpus operators and their DuckDB SQL, where SQL can express and afford them."""
 
-from tenderlake.llm import bpe_transducer, fingerprints, jaccard_join, language_id, line_dedup, packing, quality, substring_dedup, token_counts
+from tenderlake.llm import bpe_transducer, fingerprints, jaccard_join, language_id, line_dedup, packing, quality, search, substring_dedup, token_counts
 
 
 def queries() -> dict:
     return {
         "op1_substring_dedup": substring_dedup.query,
         "op2_language_id": language_id.query,
+        "op3_topk_search": search.query,
         "op4_line_dedup": line_dedup.query,
         "op5_jaccard_join": jaccard_join.query,
         "op6_packing": packing.query,
@@ -18,4 +19,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_topk_search": search.SQL}

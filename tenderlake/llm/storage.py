@@ -1,6 +1,6 @@
 """Shared storage for intermediate results.
 
-Lineage is cut with a Parquet table in the folder that the session names in
+Lineage is cut with Parquet tables in the folder that the session names in
 ``spark.checkpoint.dir``; only where that is unset (as in tests) is a folder of
 this process used instead.
 """
@@ -10,20 +10,56 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _own: list[str] = []
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
-        return folder
+        return folder.rstrip("/")
     if not _own:
         _own.append("file://" + tempfile.mkdtemp(prefix="tenderlake-"))
     return _own[0]
 
 
+def write(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` and read it back. The shuffle files of that write go as soon as it ends,
+
+    so that a job of many steps needs disk for its largest step and not for all
+    of them together.
+    """
+    spark = df.sparkSession
+    was = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if was is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, was)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to shared storage and read it back: later uses start from those files."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """A table that stays as long as the shared folder."""
+    return write(df, f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
+
+
+class Scratch:
+    """Tables of one job, deleted when its block ends: what leaves the block must not read them."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+    def __enter__(self):
+        return self
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        return write(df, f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}")
+
+    def __exit__(self, *_):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

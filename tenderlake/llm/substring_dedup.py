@@ -27,8 +27,11 @@ from tenderlake.llm import words as W
 
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Columns: doc_id, n_words, n_removed, kept_text (kept words joined by one space), and ``keep``."""
+def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, keep: tuple[str, ...] = (), verbatim: bool = False) -> DataFrame:
+    """Columns: doc_id, n_words, n_removed, kept_text (kept words joined by one space), and ``keep``.
+
+    With ``verbatim``, texts that lose nothing are returned unchanged.
+    """
     if window < 2:
         raise ValueError("a window has two words at least")
     block = window // 2
@@ -112,11 +115,14 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             step[: len(go)] += go
             step[window : window + len(go)] -= go
             stay = np.cumsum(step)[:-1] == 0
-            for i, j in itertools.pairwise(w.first.tolist()):
+            for k, (i, j) in enumerate(itertools.pairwise(w.first.tolist())):
                 n_words.append(j - i)
                 rest = stay[i:j]
                 left = int(rest.sum())
                 n_removed.append(j - i - left)
+                if verbatim and left == j - i:
+                    kept.append(w.data[w.begin[k] : w.begin[k + 1]].tobytes())
+                    continue
                 own = w.data[w.starts[i] : w.ends[j - 1]].tobytes().split() if j > i else []
                 kept.append(b" ".join(own if left == j - i else itertools.compress(own, rest)))
         new = {"doc_id": table["doc_id"], "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_text": pa.array(kept, pa.binary()).cast(pa.string())}

@@ -71,12 +71,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
+def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False, separators: np.ndarray = SEPARATOR) -> Words:
     n = len(data)
     padded = np.zeros(n + 8, np.uint8)
     padded[:n] = LOWER[data] if lower else data
     inside = np.zeros(n + 1, bool)
-    inside[:n] = ~SEPARATOR[padded[:n]]
+    inside[:n] = ~separators[padded[:n]]
     fresh = np.zeros(n + 1, bool)  # a text begins here
     fresh[offsets] = True
     before = np.zeros(n + 1, bool)
