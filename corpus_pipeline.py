@@ -1,10 +1,57 @@
-"""Corpus pipeline: documents through the corpus operators, stage by stage."""
+"""Corpus pipeline: documents through the corpus operators, stage by stage.
 
+Each stage takes (spark, docs, sf_dir) and returns the columns of ``documents``
+(the last: packed pieces). Rows that share an id and a text count as one document
+and stay or go together. Texts emptied by a stage stay as empty documents.
+"""
+
+from pyspark.sql import functions as F
+
+from tenderlake.llm import jaccard_join, line_dedup, packing, quality, substring_dedup
 from tenderlake.llm.storage import materialize
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+#: The stages include trained and sampled steps, which SQL cannot express.
 ORACLE_SQL = None
 
-STAGES = []
+
+def _documents(df):
+    return df.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
+def drop_low_quality(spark, docs, sf_dir):
+    labels = quality.training_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.accepted(docs.select(*COLUMNS), labels)
+
+
+def drop_repeated_lines(spark, docs, sf_dir):
+    return _documents(line_dedup.dedup_lines(docs, keep=("lang", "source")))
+
+
+def keep_one_of_near_copies(spark, docs, sf_dir):
+    """The smallest id of each component stays."""
+    kept = jaccard_join.jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    return docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi").select(*COLUMNS)
+
+
+def drop_repeated_passages(spark, docs, sf_dir):
+    return _documents(substring_dedup.dedup_substrings(docs, keep=("lang", "source"), verbatim=True))
+
+
+def pack_into_windows(spark, docs, sf_dir):
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_classifier", drop_low_quality),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_jaccard_join", keep_one_of_near_copies),
+    ("substring_dedup", drop_repeated_passages),
+    ("packing", pack_into_windows),
+]
 
 
 def run(spark, sf_dir):
