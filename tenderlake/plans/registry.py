@@ -1,8 +1,8 @@
 """All registered queries of the tender-data operators, and their DuckDB SQL."""
 
-from tenderlake.plans import merge_queries, scalar_queries, stat_queries, view_queries
+from tenderlake.plans import merge_queries, raw_queries, scalar_queries, stat_queries, view_queries
 
-MODULES = (view_queries, scalar_queries, merge_queries, stat_queries)
+MODULES = (view_queries, scalar_queries, merge_queries, stat_queries, raw_queries)
 
 
 def queries() -> dict:
