@@ -138,7 +138,7 @@ def document_frequencies(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def train(rows: DataFrame, sample_rows: int = 8000, shards: int = 8, passes: int = 2) -> tuple[list[str], np.ndarray, np.ndarray, float]:
+def train(rows: DataFrame, sample_rows: int = 8000, shards: int = 8, passes: int = 6) -> tuple[list[str], np.ndarray, np.ndarray, float]:
     """rows: doc_id, text, lang (not null). Languages, IDF, weights and temperature."""
     counts = rows.groupBy("lang").count().collect()  # a row for each language
     languages = sorted(r["lang"] for r in counts)
