@@ -19,4 +19,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk_search": search.SQL}
+    return {"op1_substring_dedup": substring_dedup.SQL, "op3_topk_search": search.SQL, "op5_jaccard_join": jaccard_join.SQL}

@@ -141,3 +141,15 @@ def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = dedup_substrings(docs)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), starts AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS p FROM words WHERE len(w) >= 20
+), windows AS (SELECT doc_id, p, array_to_string(list_slice(w, p, p + 19), ' ') AS seq FROM starts
+), repeated AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY seq ORDER BY doc_id, p) AS rn FROM windows) WHERE rn > 1
+), gone AS (SELECT DISTINCT doc_id, unnest(generate_series(p, p + 19)) AS pos FROM repeated
+), every AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM words
+), kept AS (SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.pos) AS text, count(*) AS n FROM every e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.pos = e.pos WHERE g.pos IS NULL GROUP BY 1)
+SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM words LEFT JOIN kept ON kept.doc_id = words.doc_id
+"""
