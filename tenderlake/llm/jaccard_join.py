@@ -3,9 +3,9 @@
 1. Every document's set of distinct word shingles is made inside its hashed
    group; sets with too few shingles that occur in other documents can link
    with nothing and end here. Equal sets become one class.
-2. Similar classes are partitioned into groups: classes that share a min-hash
-   are compared with one leader of that min-hash, in several rounds. Members of
-   a group are linked through its leader, so pairs inside it need no look.
+2. Similar classes are partitioned into groups: classes that share one of a few
+   min-hashes are compared with one leader of that min-hash, and what is linked
+   that way is a group; pairs inside it need no look.
 3. The token-group matrix has a row for each (token, group). A class most of
    whose tokens no other group holds can link with no other group.
 4. What is left probes the matrix with its rarest tokens (a link must show among
@@ -24,15 +24,16 @@ columns are ignored.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderlake.llm import groups as G
 from tenderlake.llm import words as W
 from tenderlake.llm.components import connected
-from tenderlake.llm.storage import materialize
+from tenderlake.llm.storage import Scratch, materialize
 
 SETS = "doc_id long, n_shingles long, sig binary, tokens array<long>"
+REFINED = "cls long, n_shingles long, tokens array<long>, mins array<long>"
 
 
 def shingle_sets(table: pa.Table, words: int):
@@ -53,11 +54,13 @@ def signature(tokens: np.ndarray) -> bytes:
     return b"".join(np.bitwise_xor.reduce(W.mix(tokens * c)).tobytes() for c in W.constants(2, 77)) + len(tokens).to_bytes(8, "little")
 
 
+def lists(arrays) -> pa.ListArray:
+    flat = np.concatenate([*arrays, np.zeros(0, np.uint64)]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(t) for t in arrays]), pa.int32()), pa.array(flat, pa.int64()))
+
+
 def set_rows(ids, sizes, sigs, tokens) -> pa.Table:
-    flat = np.concatenate([t for t in tokens if t is not None] or [np.zeros(0, np.uint64)]).view(np.int64)
-    ends = np.cumsum([0] + [0 if t is None else len(t) for t in tokens])
-    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_shingles": pa.array(sizes, pa.int64()), "sig": pa.array(sigs, pa.binary()), "tokens": lists})
+    return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_shingles": pa.array(sizes, pa.int64()), "sig": pa.array(sigs, pa.binary()), "tokens": lists(tokens)})
 
 
 def tokens_of(table: pa.Table) -> list[np.ndarray]:
@@ -92,9 +95,10 @@ def sparse_sets(docs: DataFrame, id_col: str, text_col: str, words: int, percent
     return dealt.groupBy(G.GROUP).cogroup(told.groupBy(G.GROUP)).applyInArrow(sift, SETS)
 
 
-def refine(classes: DataFrame, lay: G.Layout, percent: int) -> DataFrame:
-    """Classes that still can link, with the tokens that other classes hold."""
-    dealt = classes.select(F.pmod(F.xxhash64("sig"), F.lit(lay.groups)).cast("int").alias(G.GROUP), "doc_id", "n_shingles", "sig", "tokens")
+def refine(classes: DataFrame, lay: G.Layout, percent: int, seeds: int) -> DataFrame:
+    """Classes that still can link, with the tokens that other classes hold and their min-hashes."""
+    dealt = classes.select(F.pmod("cls", F.lit(lay.groups)).cast("int").alias(G.GROUP), "cls", "n_shingles", "tokens")
+    multipliers = W.constants(seeds, 5)
 
     def tell(table: pa.Table) -> pa.Table:
         keys = G.short_key(np.concatenate(tokens_of(table)), lay.buckets)
@@ -102,87 +106,143 @@ def refine(classes: DataFrame, lay: G.Layout, percent: int) -> DataFrame:
 
     def sift(table: pa.Table, answers: pa.Table) -> pa.Table:
         hits, rows = G.keys_in(answers), []
-        for doc, size, sig, tokens in zip(table["doc_id"].to_pylist(), table["n_shingles"].to_pylist(), table["sig"].to_pylist(), tokens_of(table)):
+        for cls, size, tokens in zip(table["cls"].to_pylist(), table["n_shingles"].to_pylist(), tokens_of(table)):
             often = G.member(G.short_key(tokens, lay.buckets), hits)
             if 100 * int(often.sum()) >= percent * size:
-                rows.append((doc, size, sig, tokens[often]))
-        return set_rows(*zip(*rows)) if rows else set_rows([], [], [], [])
+                tokens = tokens[often]
+                rows.append((cls, size, tokens, np.array([W.mix(tokens ^ c).min() for c in multipliers])))
+        cls, size, tokens, mins = zip(*rows) if rows else ([], [], [], [])
+        return pa.table({"cls": pa.array(cls, pa.int64()), "n_shingles": pa.array(size, pa.int64()), "tokens": lists(tokens), "mins": lists(mins)})
 
     told = G.shared(dealt.groupBy(G.GROUP).applyInArrow(tell, G.PACKED), need_mark=False)
-    return dealt.groupBy(G.GROUP).cogroup(told.groupBy(G.GROUP)).applyInArrow(sift, SETS)
+    return dealt.groupBy(G.GROUP).cogroup(told.groupBy(G.GROUP)).applyInArrow(sift, REFINED)
+
+
+def shared_between_groups(wide: DataFrame, lay: G.Layout, percent: int) -> DataFrame:
+    """Classes most of whose tokens other groups hold too, with those tokens; wide: cls, grp, n_shingles, tokens.
 
+    The matrix travels packed: each task sends its distinct (token, group) rows by
+    bucket, and learns which of its tokens are held by two groups at least.
+    """
+    dealt = wide.select(F.pmod("cls", F.lit(lay.groups)).cast("int").alias(G.GROUP), "cls", "grp", "n_shingles", "tokens")
 
-def with_min_hash(sets: DataFrame, seed: int) -> DataFrame:
-    def add(batches):
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            least = [int(W.mix(t ^ W.constants(1, seed)[0]).min().view(np.int64)) for t in tokens_of(table)]
-            yield from table.append_column("min_hash", pa.array(least, pa.int64())).to_batches()
+    def tell(table: pa.Table) -> pa.Table:
+        tokens = tokens_of(table)
+        keys = G.short_key(np.concatenate(tokens), lay.buckets)
+        labels = np.repeat(table["grp"].to_numpy(), [len(t) for t in tokens])
+        order = np.lexsort((labels, keys))
+        keys, labels = keys[order], labels[order]
+        fresh = np.concatenate([[True], (keys[1:] != keys[:-1]) | (labels[1:] != labels[:-1])])[: len(keys)]
+        keys, labels = keys[fresh], labels[fresh]
+        low = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        return G.packed((keys >> np.uint64(32)).astype(np.int64), table[G.GROUP][0].as_py(), low, lambda i, j: labels[i:j].tobytes())
+
+    def meet(table: pa.Table) -> pa.Table:
+        lows = [np.frombuffer(x, np.uint32) for x in table["hashes"].to_pylist()]
+        low, size = np.concatenate(lows), [len(x) for x in lows]
+        labels = np.concatenate([np.frombuffer(x, np.int64) for x in table["extra"].to_pylist()])
+        order = np.argsort(low, kind="stable")
+        at, n = G.runs(low[order])
+        several = np.minimum.reduceat(labels[order], at) != np.maximum.reduceat(labels[order], at)
+        hit = np.zeros(len(low), bool)
+        hit[order] = np.repeat(several, n)
+        parts = zip(table[G.GROUP].to_pylist(), np.split(low, np.cumsum(size)[:-1]), np.split(hit, np.cumsum(size)[:-1]))
+        out = [(g, x[h].tobytes()) for g, x, h in parts if h.any()]
+        bucket = table[G.BUCKET][0].as_py()
+        return pa.table({G.GROUP: pa.array([g for g, _ in out], pa.int32()), G.BUCKET: pa.array([bucket] * len(out), pa.int32()), "hashes": pa.array([x for _, x in out], pa.binary())})
+
+    def sift(table: pa.Table, answers: pa.Table) -> pa.Table:
+        hits, rows = G.keys_in(answers), []
+        for cls, grp, size, tokens in zip(table["cls"].to_pylist(), table["grp"].to_pylist(), table["n_shingles"].to_pylist(), tokens_of(table)):
+            often = G.member(G.short_key(tokens, lay.buckets), hits)
+            if 100 * int(often.sum()) >= percent * size:
+                rows.append((cls, grp, size, tokens[often]))
+        cls, grp, size, tokens = zip(*rows) if rows else ([], [], [], [])
+        return pa.table({"cls": pa.array(cls, pa.int64()), "grp": pa.array(grp, pa.int64()), "n_shingles": pa.array(size, pa.int64()), "tokens": lists(tokens)})
 
-    return sets.mapInArrow(add, "doc_id long, n_shingles long, sig binary, tokens array<long>, min_hash long")
+    told = dealt.groupBy(G.GROUP).applyInArrow(tell, G.PACKED).groupBy(G.BUCKET).applyInArrow(meet, f"{G.GROUP} int, {G.BUCKET} int, hashes binary")
+    return dealt.groupBy(G.GROUP).cogroup(told.groupBy(G.GROUP)).applyInArrow(sift, "cls long, grp long, n_shingles long, tokens array<long>")
 
 
 def linked(a_size, b_size, common, percent: int):
     return F.lit(100) * common >= F.lit(percent) * (a_size + b_size - common)
 
 
-def lead(sets: DataFrame, seed: int, percent: int) -> DataFrame:
-    """member, leader: verified links of classes with the leader of their min-hash."""
-    keyed = materialize(with_min_hash(sets, seed), "minhash")
-    first = keyed.groupBy("min_hash").agg(F.min(F.struct("doc_id", "sig")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    leaders = first.select("min_hash", F.col("first.sig").alias("leader"))
-    leaders = leaders.join(keyed.select(F.col("sig").alias("leader"), F.col("n_shingles").alias("size"), F.col("tokens").alias("own")), "leader")
-    common = F.size(F.array_intersect("tokens", "own"))
-    return keyed.join(leaders, "min_hash").where((F.col("sig") != F.col("leader")) & linked(F.col("n_shingles"), F.col("size"), common, percent)).select(F.col("sig").alias("member"), "leader")
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs a, b of classes that are linked."""
+    a = sets.select(F.col("cls").alias("a"), F.col("n_shingles").alias("a_size"), F.col("tokens").alias("a_tokens"))
+    b = sets.select(F.col("cls").alias("b"), F.col("n_shingles").alias("b_size"), F.col("tokens").alias("b_tokens"))
+    both = pairs.join(a, "a").join(b, "b").where(F.lit(100) * F.least("a_size", "b_size") >= F.lit(percent) * F.greatest("a_size", "b_size"))
+    return both.where(linked(F.col("a_size"), F.col("b_size"), F.size(F.array_intersect("a_tokens", "b_tokens")), percent)).select("a", "b")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75, rounds: int = 3) -> DataFrame:
-    """Columns: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
-    rows = materialize(sparse_sets(docs, id_col, text_col, words, percent), "sets")
-    maybe = rows.where("sig is not null")
-    classes = maybe.groupBy("sig").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(int(G.NO_ID))).alias("doc_id"), "n_shingles", "tokens")).alias("c")).select("c.doc_id", "c.n_shingles", "sig", "c.tokens")
-    classes = materialize(classes, "classes")
+def led(sets: DataFrame) -> DataFrame:
+    """Pairs of each class with the leaders of its min-hashes."""
+    keyed = sets.select("cls", F.posexplode("mins").alias("seed", "least"))
+    leaders = keyed.groupBy("seed", "least").agg(F.min("cls").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return keyed.join(leaders, ["seed", "least"]).where("cls <> b").select(F.col("cls").alias("a"), "b").distinct()
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, seeds: int, scratch: Scratch) -> DataFrame:
+    rows = scratch.table(sparse_sets(docs, id_col, text_col, words, percent), "sets")
+    maybe = rows.where("sig is not null").withColumn("cls", F.xxhash64("sig"))
+    classes = maybe.groupBy("cls").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(int(G.NO_ID))).alias("doc_id"), "n_shingles", "tokens")).alias("c")).select("cls", "c.doc_id", "c.n_shingles", "c.tokens")
+    classes = scratch.table(classes, "classes")
     token_bytes = 8 * (classes.agg(F.sum(F.size("tokens"))).first()[0] or 0)
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lay = G.Layout(max(least, token_bytes >> 23), max(least, token_bytes >> 24))
-    sets = materialize(refine(classes, lay, percent), "refined")
-
-    members = sets.select("sig", F.col("sig").alias("grp"))
-    active, links = sets, []
-    for seed in range(1, rounds + 1):
-        found = materialize(lead(active, seed, percent), "leaders")
-        active = active.join(found.select(F.col("member").alias("sig")), "sig", "left_anti").select("doc_id", "n_shingles", "sig", "tokens")
-        members = members.join(found.withColumnRenamed("member", "grp"), "grp", "left").select("sig", F.coalesce("leader", "grp").alias("grp"))
-        members = materialize(members, "members")
-
-    wide = sets.join(members, "sig")
-    tokens = wide.select("grp", F.explode("tokens").alias("token"))
-    matrix = materialize(tokens.groupBy("token", "grp").agg(F.lit(1).alias("held")), "matrix")
-    groups_of = matrix.groupBy("token").agg(F.count("*").alias("n_groups")).where("n_groups > 1")
+    sets = scratch.table(refine(classes, lay, percent, seeds), "refined")
+
+    groups = connected(verified(led(sets), sets, percent), scratch)
+    members = sets.select("cls").join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("cls", F.coalesce("label", "cls").alias("grp"))
+    members = scratch.table(members, "members")
+
+    wide = sets.join(members, "cls").select("cls", "grp", "n_shingles", "tokens")
+    shared = scratch.table(shared_between_groups(wide, lay, percent), "shared")
+    held = shared.select("cls", "grp", "n_shingles", F.explode("tokens").alias("token"))
     need = F.ceil(F.col("n_shingles") * F.lit(percent) / F.lit(100))
-    probes = wide.select("sig", "grp", "n_shingles", F.explode("tokens").alias("token")).join(groups_of, "token")
-    probes = probes.groupBy("sig", "grp", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("n_groups", "token"))).alias("held"))
-    probes = materialize(probes.where(F.size("held") >= need).select("sig", "grp", "n_shingles", F.col("held.token").alias("tokens")), "probes")
-    rare = probes.select("sig", "grp", F.explode(F.slice("tokens", F.lit(1), (F.size("tokens") - need + 1).cast("int"))).alias("token"))
-    union = matrix.join(groups_of.select("token"), "token", "left_semi").select("token", F.col("grp").alias("other"))
-    pairs = rare.join(union, "token").where("grp <> other").select("sig", "other").distinct()
-    inside = probes.join(pairs, "sig").select("sig", "n_shingles", "other", F.explode("tokens").alias("token"))
-    bound = inside.join(union, ["token", "other"]).groupBy("sig", "n_shingles", "other").agg(F.count("*").alias("held")).where(F.col("held") >= need)
-    opened = bound.select("sig", "other").join(probes.select("sig", "n_shingles", "tokens", "grp"), "sig")
-    them = probes.select(F.col("sig").alias("b"), F.col("grp").alias("other"), F.col("n_shingles").alias("size"), F.col("tokens").alias("own"))
-    near = opened.join(them, "other").where((F.lit(100) * F.least("size", "n_shingles") >= F.lit(percent) * F.greatest("size", "n_shingles")) & linked(F.col("n_shingles"), F.col("size"), F.size(F.array_intersect("tokens", "own")), percent))
-    edges = materialize(near.select(F.col("grp").alias("a"), F.col("other").alias("b")).distinct(), "links")
-
-    joined = connected(edges)
-    whole = members.join(joined.select(F.col("node").alias("grp"), "label"), "grp", "left").select("sig", F.coalesce("label", "grp").alias("label"))
-    named = classes.select("sig", "doc_id").join(whole, "sig", "left").select("sig", "doc_id", F.coalesce("label", "sig").alias("label"))
-    named = materialize(named, "named")
+    matrix = scratch.table(held.select("token", "grp").distinct(), "matrix")
+    rarity = matrix.groupBy("token").agg(F.count("*").alias("n_groups"))
+    order = Window.partitionBy("cls").orderBy("n_groups", "token")
+    ranked = held.join(rarity, "token").select("*", F.row_number().over(order).alias("rank"), F.count("*").over(Window.partitionBy("cls")).alias("n"))
+    rare = ranked.where(F.col("rank") <= F.col("n") - need + 1).select("cls", "grp", "token")
+    union = matrix.select("token", F.col("grp").alias("other"))
+    probed = rare.join(union, "token").where("grp <> other").select("cls", "other").distinct()
+    bound = held.join(probed, "cls").join(union, ["token", "other"]).groupBy("cls", "n_shingles", "grp", "other").agg(F.count("*").alias("n")).where(F.col("n") >= need)
+    them = held.select(F.col("cls").alias("b"), F.col("grp").alias("other")).distinct()
+    opened = scratch.table(bound.select(F.col("cls").alias("a"), "grp", "other").join(them, "other"), "opened")
+    near = verified(opened.select("a", "b"), sets, percent).join(opened, ["a", "b"]).select(F.col("grp").alias("a"), F.col("other").alias("b"))
+
+    joined = connected(near.distinct(), scratch)
+    whole = members.join(joined.select(F.col("node").alias("grp"), "label"), "grp", "left").select("cls", F.coalesce("label", "grp").alias("label"))
+    named = classes.select("cls", "doc_id").join(whole, "cls", "left").select("cls", "doc_id", F.coalesce("label", "cls").alias("label"))
+    named = scratch.table(named, "named")
     least_id = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_class = named.join(least_id, "label").select("sig", "component_id")
+    of_class = named.join(least_id, "label").select("cls", "component_id")
     alone = rows.where("sig is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    grouped = maybe.join(of_class, "sig").select("doc_id", "n_shingles", F.nullif("component_id", F.lit(int(G.NO_ID))).alias("component_id"))
+    grouped = maybe.join(of_class, "cls").select("doc_id", "n_shingles", F.nullif("component_id", F.lit(int(G.NO_ID))).alias("component_id"))
     return alone.union(grouped)
 
 
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75, seeds: int = 3) -> DataFrame:
+    """Columns: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
+    with Scratch(docs.sparkSession, "jaccard") as scratch:
+        return materialize(_components(docs, id_col, text_col, words, percent, seeds, scratch), "components")
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+SQL = r"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), starts AS (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS p FROM words WHERE len(w) > 0
+), shingles AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + 4), ' ') AS s FROM starts
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1
+), common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (SELECT x, y FROM common c JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c.n >= 75 * (p.n + q.n - c.n)
+), ends AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (SELECT x AS doc_id, x AS other FROM ends UNION SELECT r.doc_id, b.y FROM reach r JOIN ends b ON b.x = r.other
+), least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
+SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, coalesce(l.component_id, d.doc_id) AS component_id FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least l ON l.doc_id = d.doc_id
+"""
