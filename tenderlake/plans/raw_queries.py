@@ -157,10 +157,10 @@ def discovered_items(t):
 
 @query("c10_documents_first_wins", "SELECT sha256(text) AS identity_key, min(doc_id) AS doc_id FROM documents GROUP BY 1")
 def documents_first_wins(t):
-    """Files of one document per source, each named by the hash of its text."""
+    """Documents listed twenty to a body, each file named by the hash of its text."""
     entry = F.struct(F.lpad("doc_id", 12, "0").alias("fileName"), F.col("n_chars").alias("fileSize"), F.sha2("text", 256).alias("hash"))
-    docs = t.documents.groupBy(F.lit("all").alias("key"), F.pmod("doc_id", F.lit(64)).alias("part")).agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("body"))
-    found = C.documents(docs.select(F.concat_ws("-", "key", "part").alias("key"), "body"), "key", "body", "https://portal.example")
+    docs = t.documents.groupBy(F.expr("doc_id div 20").alias("key")).agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("body"))
+    found = C.documents(docs, "key", "body", "https://portal.example")
     return found.groupBy("identity_key").agg(F.min(F.col("filename").cast("long")).alias("doc_id"))
 
 
