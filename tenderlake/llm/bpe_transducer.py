@@ -7,7 +7,10 @@ neighbouring pair may stand side by side, so for every prefix of the bytes there
 is one last token, found from the last tokens of shorter prefixes. A token is
 emitted once it is stable: once the encodings of all prefixes that a later token
 can extend share it. Only prefixes within ``lookahead`` bytes (the longest token
-of the merge list) can be extended, so the state kept is that window.
+of the merge list) can be extended, so the state kept is that window. Nothing of
+a pretoken within one window is stable before its end: there the sequence is
+found forward, longest tokens first; a prefix that turns out a dead end is dead
+for good, as only one sequence leads to it.
 
 Texts are split into pretokens by the tokenizer's pattern; each distinct pretoken
 passes the transducer once per worker while a bounded memory holds it.
@@ -20,6 +23,7 @@ repeated rows, ties and extra columns don't matter.
 """
 
 import codecs
+import gc
 import hashlib
 import json
 
@@ -44,7 +48,7 @@ def byte_symbols() -> dict[str, int]:
 class Transducer:
     """Encoder and decoder of one merge list."""
 
-    def __init__(self, model_file: str, memory: int = 250_000):
+    def __init__(self, model_file: str, memory: int = 600_000):
         with open(model_file, encoding="utf-8") as f:
             spec = json.load(f)
         vocabulary, symbols = spec["model"]["vocab"], byte_symbols()
@@ -64,8 +68,23 @@ class Transducer:
         self.tokens = {self.bytes_of[i]: i for i in vocabulary.values() if i in self.bytes_of and (i not in self.parts or self.side_by_side(*self.parts[i], below=self.rank[self.parts[i]]))}
         self.tokens = {b: i for b, i in self.tokens.items() if len(b) == 1 or i in self.parts}
         self.lookahead = max(map(len, self.tokens))
+        self.next: dict[int, int] = {}  #: prefix tree of the tokens: node and byte to node
+        self.at = [-1]  #: the token that ends at a node
+        self.shorter: dict[int, int] = {}  #: the longest token that a token begins with
+        for data in sorted(self.tokens):
+            node, best = 0, -1
+            for b in data:
+                if self.at[node] >= 0:
+                    best = self.at[node]
+                step = node << 8 | b
+                if step not in self.next:
+                    self.next[step] = len(self.at)
+                    self.at.append(-1)
+                node = self.next[step]
+            self.at[node] = self.tokens[data]
+            self.shorter[self.tokens[data]] = best
         self.splitter = regex.compile("(" + "|".join(regex.escape(s) for s in self.special) + ")") if self.special else None
-        self.memory, self.known, self.seen = memory, _Known(self), {}
+        self.memory, self.known, self.machine = memory, _Known(self), codecs.getincrementaldecoder("utf-8")("replace")
 
     def spine(self, token: int, right: bool) -> list[tuple[int, int]]:
         """Tokens on the right (left) edge while the token is built, with the rank at which each is absorbed."""
@@ -118,9 +137,40 @@ class Transducer:
                 while stable > done and (not path or path[-1][0] > done):
                     path.append(last[path[-1][0] if path else stable])
                 yield from (token for _, token in reversed(path))
-                if path:
+                if path:  # what lies behind the last emitted token is not needed any more
                     done = stable
-                    last = {k: v for k, v in last.items() if k >= max(done, i - size)}
+                    last = {k: v for k, v in last.items() if k >= done}
+
+    def whole(self, data: bytes) -> list[int]:
+        """Ids of a pretoken within one window."""
+        n, step, at, follows, shorter, length = len(data), self.next.get, self.at, self.follows, self.shorter, self.bytes_of
+        path, pos, dead, prev, token = [], 0, set(), -1, -1
+        while pos < n:
+            if token < 0:
+                node, i = 0, pos
+                while i < n:
+                    node = step(node << 8 | data[i], -1)
+                    if node < 0:
+                        break
+                    i += 1
+                    if at[node] >= 0:
+                        token = at[node]
+            while token >= 0:
+                end = pos + len(length[token])
+                if end not in dead and (prev < 0 or follows(prev, token)):
+                    break
+                token = shorter[token]
+            if token >= 0:
+                path.append(token)
+                pos, prev, token = end, token, -1
+                continue
+            while token < 0:  # back until a token can be shortened
+                dead.add(pos)
+                last = path.pop()
+                pos -= len(length[last])
+                token = shorter[last]
+            prev = path[-1] if path else -1
+        return path
 
     def common(self, last: dict, done: int, i: int) -> int:
         """The longest prefix that the encodings of all prefixes still open share."""
@@ -132,12 +182,8 @@ class Transducer:
         return open_.pop()
 
     def pretoken(self, token: str) -> list[int]:
-        found = self.seen.get(token)
-        if found is None:
-            if len(self.seen) > self.memory:
-                self.seen.clear()
-            found = self.seen[token] = [*self.stream(token.encode())]
-        return found
+        data = token.encode()
+        return self.whole(data) if len(data) <= self.lookahead else [*self.stream(data)]
 
     def pretokens(self, text: str) -> list[str]:
         if UNEVEN.search(text):
@@ -157,16 +203,18 @@ class Transducer:
                 ids += [x[1] for x in found]
                 out += [x[2] for x in found]
                 if len(self.known) > self.memory:
-                    self.known.clear()
+                    self.known = _Known(self)
         return n, ",".join(ids), "".join(out)
 
     def ids(self, text: str) -> list[int]:
         joined = self.encode(text)[1]
         return [*map(int, joined.split(","))] if joined else []
 
-    def decode(self, ids) -> str:
-        machine = codecs.getincrementaldecoder("utf-8")("replace")
-        return "".join([machine.decode(self.bytes_of[i]) for i in ids]) + machine.decode(b"", True)
+    def decode(self, ids: list[int]) -> str:
+        machine, size = self.machine, 4096
+        machine.reset()
+        out = [machine.decode(b"".join(map(self.bytes_of.__getitem__, ids[k : k + size])), k + size >= len(ids)) for k in range(0, len(ids), size)]
+        return "".join(out)
 
 
 class _Known(dict):
@@ -177,9 +225,16 @@ class _Known(dict):
         self.own = own
 
     def __missing__(self, run: str):
-        ids = [i for p in PATTERN.findall(run) for i in self.own.pretoken(p)]
-        text = self.own.decode(ids)
-        found = self[run] = len(ids), ",".join(map(str, ids)), run if text == run else text
+        parts = PATTERN.findall(run)
+        if len(parts) > 1:
+            found = [self[p] for p in parts]
+            found = sum([x[0] for x in found]), ",".join([x[1] for x in found]), "".join([x[2] for x in found])
+        else:
+            ids = self.own.pretoken(run)
+            found = len(ids), ",".join(map(str, ids)), self.own.decode(ids)
+        if found[2] == run:
+            found = found[0], found[1], run
+        self[run] = found
         return found
 
 
@@ -189,6 +244,7 @@ _loaded: dict[str, Transducer] = {}
 def transducer(model_file: str) -> Transducer:
     if model_file not in _loaded:
         _loaded[model_file] = Transducer(model_file)
+        gc.freeze()  # its tables stay as long as the worker
     return _loaded[model_file]
 
 
