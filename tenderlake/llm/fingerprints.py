@@ -97,7 +97,6 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, block_rows: int = 200
     """
     key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63)))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), key.alias("key"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("print", fingerprint(F.col("text")))
     columns = ("text", "print")
     n = max(1, min(most_blocks, -(-docs.count() // block_rows)))
     bounds, least = rows.agg(F.percentile_approx("key", [i / n for i in range(n)], 20 * n), F.min("key")).first()
@@ -107,10 +106,13 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, block_rows: int = 200
     own = F.size(F.filter(edges, lambda b: b <= F.col("key")))
     before = F.when(F.col("key") == F.lit(least), F.lit(len(bounds))).when(F.array_contains(edges, F.col("key")), own - 1)
     dealt = rows.withColumn("own", own).withColumn("place", F.explode(F.array_compact(F.array(F.struct(F.col("own").alias("block"), F.lit(False).alias("tail")), F.when(before.isNotNull(), F.struct(before.alias("block"), F.lit(True).alias("tail")))))))
-    window = Window.partitionBy("place.block").orderBy("place.tail", "key", "text")
+    dealt = dealt.select("doc_id", "key", "text", F.col("place.block").alias("block"), F.col("place.tail").alias("tail")).repartition("block")
+    # fingerprinted after the shuffle, which carries texts alone
+    dealt = dealt.withColumn("print", fingerprint(F.col("text")))
+    window = Window.partitionBy("block").orderBy("tail", "key", "text")
     for column in columns:
         dealt = dealt.withColumn(f"next_{column}", F.lead(column).over(window))
-    return dealt.where(~F.col("place.tail")).select("doc_id", *columns, *[f"next_{c}" for c in columns])
+    return dealt.where(~F.col("tail")).select("doc_id", *columns, *[f"next_{c}" for c in columns])
 
 
 def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
