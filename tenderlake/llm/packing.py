@@ -14,15 +14,18 @@ ids are packed as documents of their own. Extra columns are ignored.
 
 import heapq
 import itertools
+import json
 import os
+import struct
 import zlib
 
-import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderlake.llm import groups as G
+from tenderlake.llm.bpe_transducer import byte_symbols
 from tenderlake.llm.token_counts import portions
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -31,32 +34,61 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 class WordEncoder:
     """Ids of texts for tokenizers that drop white space: every word between ASCII white space has ids of its own.
 
-    Equal words have equal ids, so the library encodes each once per worker while
-    a bounded memory holds it.
+    Equal words have equal ids, so each is encoded once per worker while a bounded
+    memory holds it. Printable words of letters below U+0250, on which the
+    tokenizer's normaliser only lower-cases, are split by its pattern and their
+    parts go to its merge model; all others go through the library whole.
     """
 
-    def __init__(self, model_file: str, memory: int = 300_000):
+    def __init__(self, model_file: str, memory: int = 900_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.model = Tokenizer.from_file(model_file)
-        self.model.no_truncation()
-        self.model.no_padding()
-        self.memory, self.known = memory, {}
-        probe = self.model.encode("a b\n c\t d", add_special_tokens=False).ids
-        parts = [i for w in "abcd" for i in self.model.encode(w, add_special_tokens=False).ids]
-        if probe != parts:
+        self.library = Tokenizer.from_file(model_file)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.memory, self.known, self.parts = memory, {}, {}
+        probe = self.whole(["a b\n c\t d"])[0]
+        if probe != b"".join(self.whole([*"abcd"])):
             raise ValueError("this tokenizer does not drop white space")
+        with open(model_file, encoding="utf-8") as f:
+            spec = json.load(f)
+        steps = {x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])}
+        splits = [x for x in (spec["pre_tokenizer"] or {}).get("pretokenizers", []) if x["type"] == "Split"]
+        self.simple = steps == {"NFC", "Replace", "Lowercase"} and len(splits) == 1 and splits[0]["invert"]
+        self.pattern = regex.compile(splits[0]["pattern"]["Regex"]) if self.simple else None
+        symbol = {b: c for c, b in byte_symbols().items()}
+        self.symbols = {c: "".join(symbol[b] for b in chr(c).encode()) for c in range(128, 0x250)}
+
+    @staticmethod
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def whole(self, words: list[str]) -> list[bytes]:
+        return [self.packed(x.ids) for x in self.library.encode_batch_fast(words, add_special_tokens=False)]
+
+    def part(self, token: str) -> bytes:
+        found = self.parts.get(token)
+        if found is None:
+            found = self.parts[token] = self.packed([t.id for t in self.library.model.tokenize(token if token.isascii() else token.translate(self.symbols))])
+        return found
+
+    def learn(self, words: list[bytes]) -> None:
+        rest, part, findall = [], self.part, self.pattern.findall if self.simple else None
+        for word in words:
+            text = word.decode()
+            if self.simple and text.isprintable() and max(text) < "\u0250" and "\u0130" not in text and "<|" not in text:
+                self.known[word] = b"".join([part(t) for t in findall(text.lower())])
+            else:
+                rest.append(text)
+        self.known.update(zip([t.encode() for t in rest], self.whole(rest)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit numbers."""
         split = [t.encode().split() for t in texts]
-        fresh = [*(set().union(*split) - self.known.keys())]
-        if len(self.known) + len(fresh) > self.memory:
-            self.known.clear()
-            fresh = [*set().union(*split)]
-        encoded = self.model.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
-        self.known.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(fresh, encoded))
+        if len(self.known) + len(self.parts) > self.memory:
+            self.known, self.parts = {}, {}
+        self.learn([*(set().union(*split) - self.known.keys())])
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
@@ -116,7 +148,7 @@ def fill(lengths: list[int], capacity: int) -> list[list[int]]:
 def pack(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1, capacity: int = 2048, piece: int = 512) -> DataFrame:
     """Columns: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset; a row for each piece."""
     lay = G.layout(docs, text_col, group_bytes=2 << 20)
-    end = np.array([end_id], "<u4").tobytes()
+    end = WordEncoder.packed([end_id])
 
     def encode(batches):
         if model_file not in _loaded:
