@@ -238,3 +238,46 @@ def rolling_spend(t):
 def failure_windows(t):
     out = K.failure_windows(t.events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"])
     return out.select(F.date_format("starts_at", "yyyy-MM-dd HH:mm:ss").alias("starts_at"), "event_type", "n")
+
+
+@query("c7_json_identity", "SELECT CAST(o_orderkey AS VARCHAR) AS source_entity_id, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS business_number, concat('https://portal.example/#/ext(popup:item/', o_orderkey, '/advert)?tabs=advert&tabstatus=active&page=1') AS canonical_url FROM orders")
+def json_identity(t):
+    number = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority"))
+    body = F.to_json(F.struct(F.lit("").alias("id"), F.col("o_orderkey").alias("advertId"), number.alias("advertNumber")))
+    return t.orders.select(C.identity(body, "notice", "https://portal.example").alias("i")).select("i.source_entity_id", "i.business_number", "i.canonical_url")
+
+
+@query(
+    "c16_detail_entities",
+    """SELECT concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey) AS source_entity_id, l_returnflag AS status, CAST(CAST(CAST(l_quantity AS DECIMAL(18,2)) AS DECIMAL(24,6)) AS VARCHAR) AS quantity,
+    CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(24,6)) AS VARCHAR) AS total_amount, 'KZT' AS currency, CAST(l_suppkey AS VARCHAR) AS customer_id, CAST(CAST(l_linenumber AS DECIMAL(8,3)) AS VARCHAR) AS prepayment_percent,
+    strftime(l_shipdate, '%Y-%m-%d') AS ends FROM lineitem""",
+)
+def detail_entities(t):
+    c = F.col
+    body = F.to_json(
+        F.struct(
+            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("lotId"),
+            c("l_returnflag").alias("lotStatus"),
+            c("l_quantity").cast("decimal(18,2)").cast("string").alias("count"),
+            F.translate(F.format_number(c("l_extendedprice").cast("decimal(18,2)"), 2), ",.", " ,").alias("totalSum"),
+            F.struct(c("l_suppkey").alias("companyId")).alias("customerInfo"),
+            c("l_linenumber").alias("prepaymentPercent"),
+            F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T00:00:00Z")).alias("endDateTime"),
+        )
+    )
+    rows = C.detail_entities(t.lineitem.select(body.alias("body")), "body", "lot", "https://portal.example")
+    text = lambda x: F.col(x).cast("string").alias(x.split(".")[-1])
+    return rows.select("source_entity_id", "status", text("quantity"), text("total_amount"), "currency", F.col("customer.source_entity_id").alias("customer_id"), text("payment_terms.prepayment_percent"), F.date_format("application_end_at", "yyyy-MM-dd").alias("ends"))
+
+
+@query("e13_delivery_terms", "SELECT p_partkey, concat('С даты подписания договора в течение ', p_size, ' календарных дней') AS delivery_terms_ru FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, 'by hand' FROM part WHERE p_partkey % 2 = 1")
+def delivery_terms(t):
+    """Stored terms of one source rebuilt from the payload; the other source keeps its own."""
+    from tenderlake.plans.tables import source_of
+
+    payload = F.to_json(F.struct(F.struct(F.col("p_size").alias("daysForDelivery"), F.struct(F.lit("CALENDAR").alias("code")).alias("dayType")).alias("schedule")))
+    stored = t.part.select("p_partkey", payload.alias("source_payload"), F.lit("by hand").alias("delivery_terms_ru"))
+    registry = t.part.select("p_partkey", source_of("p_partkey").alias("source"))
+    rebuilt = F.when(F.col("source") == "portal_a", F.coalesce(C.delivery_schedule(F.col("source_payload"), "ru"), F.col("delivery_terms_ru"))).otherwise(F.col("delivery_terms_ru"))
+    return stored.join(registry, "p_partkey").select("p_partkey", rebuilt.alias("delivery_terms_ru"))
