@@ -47,7 +47,7 @@ class WordEncoder:
         self.library = Tokenizer.from_file(model_file)
         self.library.no_truncation()
         self.library.no_padding()
-        self.memory, self.known, self.parts = memory, {}, {}
+        self.memory, self.known, self.parts = memory, _Known(self), {}
         probe = self.whole(["a b\n c\t d"])[0]
         if probe != b"".join(self.whole([*"abcd"])):
             raise ValueError("this tokenizer does not drop white space")
@@ -73,24 +73,40 @@ class WordEncoder:
             found = self.parts[token] = self.packed([t.id for t in self.library.model.tokenize(token if token.isascii() else token.translate(self.symbols))])
         return found
 
-    def learn(self, words: list[bytes]) -> None:
-        rest, part, findall = [], self.part, self.pattern.findall if self.simple else None
-        for word in words:
-            text = word.decode()
-            if self.simple and text.isprintable() and max(text) < "\u0250" and "\u0130" not in text and "<|" not in text:
-                self.known[word] = b"".join([part(t) for t in findall(text.lower())])
-            else:
-                rest.append(text)
-        self.known.update(zip([t.encode() for t in rest], self.whole(rest)))
+    def word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if self.simple and text.isprintable() and max(text) < "\u0250" and "\u0130" not in text and "<|" not in text:
+            return b"".join([self.part(t) for t in self.pattern.findall(text.lower())])
+        return self.whole([text])[0]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit numbers."""
-        split = [t.encode().split() for t in texts]
         if len(self.known) + len(self.parts) > self.memory:
-            self.known, self.parts = {}, {}
-        self.learn([*(set().union(*split) - self.known.keys())])
+            self.known, self.parts = _Known(self), {}
         get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        return [b"".join(map(get, t.encode().split())) for t in texts]
+
+
+class _Known(dict):
+    """Ids of known words; unknown ones are encoded when asked for."""
+
+    def __init__(self, own: WordEncoder):
+        super().__init__()
+        self.own = own
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self[word] = self.own.word(word)
+        return found
+
+
+_loaded: dict[str, WordEncoder] = {}
+
+
+def encoder(model_file: str) -> WordEncoder:
+    """One for each worker: tasks that follow find what it knows."""
+    if model_file not in _loaded:
+        _loaded[model_file] = WordEncoder(model_file)
+    return _loaded[model_file]
 
 
 def cut(doc_ids: int, capacity: int, piece: int):
@@ -151,9 +167,7 @@ def pack(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str
     end = WordEncoder.packed([end_id])
 
     def encode(batches):
-        if model_file not in _loaded:
-            _loaded[model_file] = WordEncoder(model_file)
-        own = _loaded[model_file]
+        own = encoder(model_file)
         for batch in batches:
             rows, ids = [], iter(batch.column("doc_id").to_pylist())
             for part in portions(batch, "text"):
@@ -186,9 +200,6 @@ def pack(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str
     return dealt.groupBy(G.GROUP).applyInArrow(place, PIECES + ", sequence_id long, offset long")
 
 
-_loaded: dict[str, WordEncoder] = {}
-
-
 def query(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
