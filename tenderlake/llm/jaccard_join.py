@@ -205,9 +205,13 @@ def _components(docs: DataFrame, id_col: str, text_col: str, words: int, percent
     rarity = matrix.groupBy("token").agg(F.count("*").alias("n_groups"))
     order = Window.partitionBy("cls").orderBy("n_groups", "token")
     ranked = held.join(rarity, "token").select("*", F.row_number().over(order).alias("rank"), F.count("*").over(Window.partitionBy("cls")).alias("n"))
-    rare = ranked.where(F.col("rank") <= F.col("n") - need + 1).select("cls", "grp", "token")
+    rare = ranked.where(F.col("rank") <= F.col("n") - need + 1).select("cls", "grp", "token", "n_shingles", "n")
     union = matrix.select("token", F.col("grp").alias("other"))
-    probed = rare.join(union, "token").where("grp <> other").select("cls", "other").distinct()
+    # of two linked classes the first common token is rare in both; sizes and held tokens bound their overlap
+    index = rare.select("token", F.col("grp").alias("other"), F.col("n_shingles").alias("size"), F.col("n").alias("most"))
+    near_size = F.lit(100) * F.least("n_shingles", "size") >= F.lit(percent) * F.greatest("n_shingles", "size")
+    can_reach = F.lit(100 + percent) * F.least("n", "most") >= F.lit(percent) * (F.col("n_shingles") + F.col("size"))
+    probed = rare.join(index, "token").where((F.col("grp") != F.col("other")) & near_size & can_reach).select("cls", "other").distinct()
     bound = held.join(probed, "cls").join(union, ["token", "other"]).groupBy("cls", "n_shingles", "grp", "other").agg(F.count("*").alias("n")).where(F.col("n") >= need)
     them = held.select(F.col("cls").alias("b"), F.col("grp").alias("other")).distinct()
     opened = scratch.table(bound.select(F.col("cls").alias("a"), "grp", "other").join(them, "other"), "opened")
