@@ -60,6 +60,12 @@ class Scratch:
     def table(self, df: DataFrame, name: str) -> DataFrame:
         return write(df, f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}")
 
+    def location(self, df: DataFrame, name: str) -> str:
+        """Write a table that tasks read themselves; returns where it is."""
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
+        write(df, path)
+        return path
+
     def __exit__(self, *_):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
