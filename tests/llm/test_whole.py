@@ -1,5 +1,7 @@
 """The queries do their whole jobs: compared with plain versions that leave nothing out."""
 
+import numpy as np
+
 from tenderlake.llm import search
 from tests.llm.test_models import brute_search
 
@@ -11,3 +13,22 @@ def test_every_20th_document_is_searched_for(spark, sf_dir):
     want = sorted(brute_search(docs, asked, 100))
     assert len({r[0] for r in got}) == len(asked) and [r[:3] for r in got] == [r[:3] for r in want]
     assert all(abs(a[3] - b[3]) <= 2e-6 for a, b in zip(got, want))
+
+
+def test_search_reads_postings_of_chosen_blocks_only(monkeypatch):
+    r = np.random.default_rng(1)
+    docs, block = 640, 64
+    lengths = np.where(np.arange(docs) // block == 3, 2, 40)  # short documents score best: block 3 holds all results
+    doc = np.repeat(np.arange(docs), lengths)
+    first = np.append(True, doc[1:] != doc[:-1])
+    hashes = np.where(first, 7, r.integers(100, 10**6, len(doc))).astype(np.uint64)
+    shard = search.Shard(np.arange(docs), hashes, doc, lengths.mean(), block)
+    shard.weigh(np.ones(len(shard.terms)))
+    read = []
+    plain = search.spans
+    monkeypatch.setattr(search, "spans", lambda start, n: read.append(int(n.sum())) or plain(start, n))
+    found, scores = shard.best(np.array([7], np.uint64), 10)
+    term = slice(shard.start[0], shard.end[0])
+    want = np.sort(shard.impact[term])[::-1][:10]
+    assert np.array_equal(np.sort(scores)[::-1][:10], want)
+    assert sum(read[1:]) <= 4 * block < shard.end[0] - shard.start[0]
