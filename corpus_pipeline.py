@@ -26,7 +26,7 @@ def drop_low_quality(spark, docs, sf_dir):
 
 
 def drop_repeated_lines(spark, docs, sf_dir):
-    return _documents(line_dedup.dedup_lines(docs, keep=("lang", "source")))
+    return _documents(line_dedup.dedup_lines(docs, keep=("lang", "source"), **line_dedup.EVERY_LINE))
 
 
 def keep_one_of_near_copies(spark, docs, sf_dir):
