@@ -268,7 +268,7 @@ PAGES_SQL = "p AS (SELECT user_id, event_id // 50 AS window_id, event_id AS page
 )
 def classify_windows(t):
     status = F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "signup", "empty").otherwise("items")
-    pages = t.events.where("user_id % 2 = 0").select("user_id", F.expr("event_id div 50").alias("window_id"), F.col("event_id").alias("page"), status.alias("status"), (F.col("event_id") % 10).alias("n_items"))
+    pages = t.events.select("user_id", F.expr("event_id div 50").alias("window_id"), F.col("event_id").alias("page"), status.alias("status"), (F.col("event_id") % 10).alias("n_items"))
     return J.classify_windows(pages, ["user_id", "window_id"])
 
 
