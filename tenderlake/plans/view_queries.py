@@ -66,14 +66,22 @@ def export_organizations(t):
     return V.owned_view(_organizations(t).drop("c_nationkey"), registry).select("source", "source_entity_id", "name", "address")
 
 
+#: entity types of the parent and the child by relation
+ENDS = {"notice_to_lot": ("notice", "lot"), "plan_to_lot": ("plan_item", "lot"), "plan_to_notice": ("plan_item", "notice"), "organizer": ("lot", "organization"), "customer": ("notice", "organization")}
+
+
 @query(
     "f5_export_entity_relations",
     """SELECT e.relation_type, p.source AS parent_source, 'notice' AS parent_type, e.parent_id, c.source AS child_source, 'lot' AS child_type, e.child_id
     FROM v_edge e JOIN v_notice p ON p.source_entity_id = e.parent_id JOIN v_lot c ON c.source_entity_id = e.child_id WHERE e.relation_type = 'notice_to_lot'""",
 )
 def export_relations(t):
-    registry = t.notice().select(*V.KEY).unionByName(t.lot().select(*V.KEY)).withColumn("key", F.concat_ws(":", "entity_type", "source_entity_id"))
-    edges = t.edges().where("relation_type = 'notice_to_lot'").select("relation_type", F.concat(F.lit("notice:"), "parent_id").alias("parent"), F.concat(F.lit("lot:"), "child_id").alias("child"))
+    organization = lambda key: (source_of(key).alias("source"), F.lit("organization").alias("entity_type"), F.col(key).cast("string").alias("source_entity_id"))
+    organizations = t.customer.select(*organization("c_custkey")).union(t.supplier.select(*organization("s_suppkey"))).distinct()
+    registry = t.notice().select(*V.KEY).union(t.lot().select(*V.KEY)).union(t.plan_item().select(*V.KEY)).union(organizations)
+    registry = registry.withColumn("key", F.concat_ws(":", "entity_type", "source_entity_id"))
+    end = lambda i, key: F.concat_ws(":", F.create_map(*[F.lit(x) for kind, ends in ENDS.items() for x in (kind, ends[i])])[F.col("relation_type")], key)
+    edges = t.edges().select("relation_type", end(0, "parent_id").alias("parent"), end(1, "child_id").alias("child"))
     return V.relation_view(edges, registry)
 
 
