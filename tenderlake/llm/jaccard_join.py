@@ -3,17 +3,23 @@
 1. Every document's set of distinct word shingles is made inside its hashed
    group; sets with too few shingles that occur in other documents can link
    with nothing and end here. Equal sets become one class.
-2. Similar classes are partitioned into groups: classes that share one of a few
-   min-hashes are compared with one leader of that min-hash, and what is linked
-   that way is a group; pairs inside it need no look.
-3. The token-group matrix has a row for each (token, group). A class most of
-   whose tokens no other group holds can link with no other group.
-4. What is left probes the matrix with its rarest tokens (a link must show among
-   them), the overlap of the class with a group's token union is counted as an
-   upper bound of the overlap with any member, and only groups that reach the
-   required overlap are opened and compared member by member.
-
-Every bound is a necessary condition, so no link between different sets is lost.
+2. Classes that share one of a few min-hashes are compared with one leader of
+   that min-hash (the one with the largest share of tokens that others hold: a
+   copied original before its edited copies). What is linked has one label.
+3. Two sets of sizes a and b are linked only if percent (a + b) / (100 + percent)
+   tokens are common. So a class whose tokens are held under other labels often
+   enough in no range of sizes can gain no link (``sifted``). This is what ends
+   copies of one original that are too far from each other, without a pair.
+4. The rest is partitioned into groups of similar classes: those of one label, or
+   single ones with the same leader, of similar size, ``GROUP_CLASSES`` in each. The
+   token-group matrix says which group holds a token; a class looks in it for its
+   rarest tokens (a linked class must hold one of them among its own rarest).
+5. Each group gets the classes that found it. The overlap of a class with the
+   group's token union bounds its overlap with any member; only groups that reach
+   the required overlap are opened and compared member by member.
+
+Every bound is a necessary condition, so no two components that a link joins stay
+apart. Groups and their queries are dealt in bounded portions, a large cluster too.
 
 Semantics: A-Z are lower-cased; a text of fewer words than a shingle has its
 whole sequence as one; texts without words (null, empty) have no shingles and
@@ -22,9 +28,11 @@ and a component of which it is the smallest has a null component_id. Extra
 columns are ignored.
 """
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderlake.llm import groups as G
@@ -34,6 +42,12 @@ from tenderlake.llm.storage import Scratch, materialize
 
 SETS = "doc_id long, n_shingles long, sig binary, tokens array<long>"
 REFINED = "cls long, n_shingles long, tokens array<long>, mins array<long>"
+SIFTED = "cls long, label long, loose boolean, leader long, n_shingles long, tokens array<long>, look long"
+SIFTED_COLUMNS = ["cls", "label", "loose", "leader", "n_shingles", "tokens", "look"]
+REACH = 7  #: ranges of sizes between a set and the largest that can be linked with it
+SPAN = REACH + 1  #: ranges looked at on either side, with one to spare for rounding
+GROUP_CLASSES = 128  #: classes of a group of the matrix
+PORTION = 2048  #: classes that ask for a group in one portion
 
 
 def shingle_sets(table: pa.Table, words: int):
@@ -118,50 +132,113 @@ def refine(classes: DataFrame, lay: G.Layout, percent: int, seeds: int) -> DataF
     return dealt.groupBy(G.GROUP).cogroup(told.groupBy(G.GROUP)).applyInArrow(sift, REFINED)
 
 
-def shared_between_groups(wide: DataFrame, lay: G.Layout, percent: int) -> DataFrame:
-    """Classes most of whose tokens other groups hold too, with those tokens; wide: cls, grp, n_shingles, tokens.
+@dataclass(frozen=True)
+class Sizes:
+    """Ranges of set sizes, ``REACH`` of them between a size and the largest that it can be linked with."""
+
+    percent: int
+
+    @property
+    def step(self) -> float:
+        return max(np.log(100 / self.percent), 0.01) / REACH
+
+    def range_of(self, size: np.ndarray) -> np.ndarray:
+        return np.floor(np.log(np.maximum(size, 1)) / self.step + 1e-9).astype(np.int64)
+
+    def least(self, range_: np.ndarray) -> np.ndarray:
+        """No size of the range is smaller."""
+        return np.ceil(np.exp(range_ * self.step) * (1 - 1e-6))
 
-    The matrix travels packed: each task sends its distinct (token, group) rows by
-    bucket, and learns which of its tokens are held by two groups at least.
+    def need(self, size: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """Common tokens without which sets of these sizes, or larger others, are not linked."""
+        return np.ceil(np.maximum(size * self.percent / 100, (size + other) * self.percent / (100 + self.percent)) - 1e-6)
+
+
+def sifted(wide: DataFrame, lay: G.Layout, percent: int) -> DataFrame:
+    """Classes that can gain a link, with their tokens held under other labels, rarest first, and how many of these to look for.
+
+    wide: cls, label, n_shingles, tokens. The matrix travels packed: each task
+    sends the tokens of its classes by bucket, with label and size range, and
+    learns for each of its tokens in which neighbouring ranges another label holds
+    it, and how many classes hold it in all.
     """
-    dealt = wide.select(F.pmod("cls", F.lit(lay.groups)).cast("int").alias(G.GROUP), "cls", "grp", "n_shingles", "tokens")
+    sizes = Sizes(percent)
+    dealt = wide.select(F.pmod("cls", F.lit(lay.groups)).cast("int").alias(G.GROUP), "cls", "label", "loose", "leader", "n_shingles", "tokens")
 
-    def tell(table: pa.Table) -> pa.Table:
+    def entries(table: pa.Table):
+        """Distinct (token, label, size range) of a group in order, and which of them each token of the classes is."""
         tokens = tokens_of(table)
-        keys = G.short_key(np.concatenate(tokens), lay.buckets)
-        labels = np.repeat(table["grp"].to_numpy(), [len(t) for t in tokens])
-        order = np.lexsort((labels, keys))
-        keys, labels = keys[order], labels[order]
-        fresh = np.concatenate([[True], (keys[1:] != keys[:-1]) | (labels[1:] != labels[:-1])])[: len(keys)]
-        keys, labels = keys[fresh], labels[fresh]
-        low = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        return G.packed((keys >> np.uint64(32)).astype(np.int64), table[G.GROUP][0].as_py(), low, lambda i, j: labels[i:j].tobytes())
+        n = [len(t) for t in tokens]
+        key = G.short_key(np.concatenate(tokens), lay.buckets)
+        label, range_ = np.repeat(table["label"].to_numpy(), n), np.repeat(sizes.range_of(table["n_shingles"].to_numpy()), n)
+        order = np.lexsort((range_, label, key))
+        k, x, r = key[order], label[order], range_[order]
+        fresh = np.concatenate([[True], (k[1:] != k[:-1]) | (x[1:] != x[:-1]) | (r[1:] != r[:-1])])[: len(k)]
+        of = np.zeros(len(k), np.int64)
+        of[order] = np.cumsum(fresh) - 1
+        times = np.bincount(of, minlength=int(fresh.sum()))
+        return k[fresh], x[fresh], r[fresh].astype(np.int32), np.minimum(times, 2**31 - 1).astype(np.int32), of
+
+    def tell(table: pa.Table) -> pa.Table:
+        key, label, range_, times, _ = entries(table)
+        low = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        return G.packed((key >> np.uint64(32)).astype(np.int64), table[G.GROUP][0].as_py(), low, lambda i, j: label[i:j].tobytes() + range_[i:j].tobytes() + times[i:j].tobytes())
 
     def meet(table: pa.Table) -> pa.Table:
         lows = [np.frombuffer(x, np.uint32) for x in table["hashes"].to_pylist()]
-        low, size = np.concatenate(lows), [len(x) for x in lows]
-        labels = np.concatenate([np.frombuffer(x, np.int64) for x in table["extra"].to_pylist()])
+        extra, n = table["extra"].to_pylist(), [len(x) for x in lows]
+        label = np.concatenate([np.frombuffer(x, np.int64, k) for x, k in zip(extra, n)])
+        range_ = np.concatenate([np.frombuffer(x, np.int32, k, 8 * k) for x, k in zip(extra, n)]).astype(np.int64)
+        times = np.concatenate([np.frombuffer(x, np.int32, k, 12 * k) for x, k in zip(extra, n)]).astype(np.int64)
+        low = np.concatenate(lows)
         order = np.argsort(low, kind="stable")
-        at, n = G.runs(low[order])
-        several = np.minimum.reduceat(labels[order], at) != np.maximum.reduceat(labels[order], at)
-        hit = np.zeros(len(low), bool)
-        hit[order] = np.repeat(several, n)
-        parts = zip(table[G.GROUP].to_pylist(), np.split(low, np.cumsum(size)[:-1]), np.split(hit, np.cumsum(size)[:-1]))
-        out = [(g, x[h].tobytes()) for g, x, h in parts if h.any()]
-        bucket = table[G.BUCKET][0].as_py()
-        return pa.table({G.GROUP: pa.array([g for g, _ in out], pa.int32()), G.BUCKET: pa.array([bucket] * len(out), pa.int32()), "hashes": pa.array([x for _, x in out], pa.binary())})
+        at, run = G.runs(low[order])
+        token = np.zeros(len(low), np.int64)
+        token[order] = np.repeat(np.arange(len(at)), run)
+        holders = np.bincount(token, times, len(at))[token]
+        span = int(range_.max(initial=0)) + 2 * SPAN + 2
+        key = token * span + range_ + SPAN
+        order = np.argsort(key, kind="stable")
+        at, _ = G.runs(key[order])
+        held = key[order][at]
+        first, last = np.minimum.reduceat(label[order], at), np.maximum.reduceat(label[order], at)
+        where = np.zeros(len(low), np.uint32)
+        for step in range(2 * SPAN + 1):
+            there = np.minimum(np.searchsorted(held, key + (step - SPAN)), len(held) - 1)
+            other = (held[there] == key + (step - SPAN)) & ((first[there] != label) | (last[there] != label))
+            where |= other.astype(np.uint32) << np.uint32(step)
+        ends = np.cumsum(n)
+        rare = np.minimum(holders, 2**32 - 1).astype(np.uint32)
+        rows = [where[e - k : e].tobytes() + rare[e - k : e].tobytes() for e, k in zip(ends, n)]
+        return pa.table({G.GROUP: table[G.GROUP], G.BUCKET: table[G.BUCKET], "hashes": pa.array(rows, pa.binary())})
 
     def sift(table: pa.Table, answers: pa.Table) -> pa.Table:
-        hits, rows = G.keys_in(answers), []
-        for cls, grp, size, tokens in zip(table["cls"].to_pylist(), table["grp"].to_pylist(), table["n_shingles"].to_pylist(), tokens_of(table)):
-            often = G.member(G.short_key(tokens, lay.buckets), hits)
-            if 100 * int(often.sum()) >= percent * size:
-                rows.append((cls, grp, size, tokens[often]))
-        cls, grp, size, tokens = zip(*rows) if rows else ([], [], [], [])
-        return pa.table({"cls": pa.array(cls, pa.int64()), "grp": pa.array(grp, pa.int64()), "n_shingles": pa.array(size, pa.int64()), "tokens": lists(tokens)})
-
-    told = dealt.groupBy(G.GROUP).applyInArrow(tell, G.PACKED).groupBy(G.BUCKET).applyInArrow(meet, f"{G.GROUP} int, {G.BUCKET} int, hashes binary")
-    return dealt.groupBy(G.GROUP).cogroup(told.groupBy(G.GROUP)).applyInArrow(sift, "cls long, grp long, n_shingles long, tokens array<long>")
+        key, _, _, _, of = entries(table)
+        replies = sorted(zip(answers[G.BUCKET].to_pylist(), answers["hashes"].to_pylist()))  # the order in which entries were sent
+        where = np.concatenate([np.frombuffer(x, np.uint32, len(x) // 8) for _, x in replies] + [np.zeros(0, np.uint32)])[of]
+        rare = np.concatenate([np.frombuffer(x, np.uint32, len(x) // 8, len(x) // 2) for _, x in replies] + [np.zeros(0, np.uint32)])[of]
+        rows, at = [], 0
+        meta = zip(*(table[c].to_pylist() for c in ("cls", "label", "loose", "leader", "n_shingles")))
+        for (cls, label, loose, leader, size), tokens in zip(meta, tokens_of(table)):
+            own, often = where[at : at + len(tokens)], rare[at : at + len(tokens)]
+            at += len(tokens)
+            ranges = sizes.range_of(np.array([size]))[0] + np.arange(-SPAN, SPAN + 1)
+            need = sizes.need(np.full(len(ranges), size), sizes.least(ranges))
+            count = np.array([int((own >> np.uint32(step) & np.uint32(1)).sum()) for step in range(len(ranges))])
+            can = np.flatnonzero(count >= need)
+            if not len(can):
+                continue
+            useful = (own & np.uint32(sum(1 << int(step) for step in can))) > 0
+            tokens, often = tokens[useful], often[useful]
+            order = np.lexsort((tokens, often))
+            rows.append((cls, label, loose, leader, size, tokens[order], len(tokens) - int(need[can].min()) + 1))
+        cls, label, loose, leader, size, tokens, look = zip(*rows) if rows else ([],) * 7
+        numbers = {"cls": cls, "label": label, "leader": leader, "n_shingles": size, "look": look}
+        return pa.table({k: pa.array(v, pa.int64()) for k, v in numbers.items()} | {"loose": pa.array(loose, pa.bool_()), "tokens": lists(tokens)}).select(SIFTED_COLUMNS)
+
+    answer = f"{G.GROUP} int, {G.BUCKET} int, hashes binary"
+    told = dealt.groupBy(G.GROUP).applyInArrow(tell, G.PACKED).groupBy(G.BUCKET).applyInArrow(meet, answer)
+    return dealt.groupBy(G.GROUP).cogroup(told.groupBy(G.GROUP)).applyInArrow(sift, SIFTED)
 
 
 def linked(a_size, b_size, common, percent: int):
@@ -177,54 +254,96 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def led(sets: DataFrame) -> DataFrame:
-    """Pairs of each class with the leaders of its min-hashes."""
-    keyed = sets.select("cls", F.posexplode("mins").alias("seed", "least"))
-    leaders = keyed.groupBy("seed", "least").agg(F.min("cls").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return keyed.join(leaders, ["seed", "least"]).where("cls <> b").select(F.col("cls").alias("a"), "b").distinct()
+    """Columns a, b, seed: each class with the leaders of its min-hashes, one row a class and seed."""
+    own = (F.size("tokens") / F.col("n_shingles")).alias("own")
+    keyed = sets.select("cls", own, F.posexplode("mins").alias("seed", "least"))
+    leaders = keyed.groupBy("seed", "least").agg(F.min_by("cls", F.struct(-F.col("own"), "cls")).alias("b"))
+    return keyed.join(leaders, ["seed", "least"]).select(F.col("cls").alias("a"), "b", "seed")
+
+
+def found_groups(rest: DataFrame) -> DataFrame:
+    """Distinct (cls, grp): the groups that hold one of the tokens a class looks for among those their classes look for.
+
+    Single classes look for all groups, those of a label for groups of lesser
+    labels only: one side of each pair of labels is enough.
+    """
+    rare = rest.select("cls", "grp", "label", "loose", F.explode(F.slice("tokens", F.lit(1), F.col("look").cast("int"))).alias("token"))
+    index = rare.select("token", F.col("grp").alias("other"), F.col("label").alias("owner"), F.col("loose").alias("single"))
+    index = index.withColumn("owner", F.when(~F.col("single"), F.col("owner"))).distinct()
+    ask = (F.col("loose") & (F.col("single") | (F.col("label") != F.col("owner")))) | (~F.col("single") & (F.col("label") > F.col("owner")))
+    return rare.join(index, "token").where(ask).select("cls", F.col("other").alias("grp")).distinct()
+
+
+def open_groups(asking: DataFrame, rest: DataFrame, percent: int) -> DataFrame:
+    """Linked labels a, b; asking: cls, grp. Groups meet their queries in portions of ``PORTION`` classes."""
+    sizes = Sizes(percent)
+    columns = ("cls", "label", "n_shingles", "tokens")
+    salt = F.pmod(F.xxhash64("cls"), F.col("portions")).alias("portion")
+    portions = asking.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(PORTION)).alias("portions"))
+    queries = asking.join(portions, "grp").select("grp", salt, "cls").join(rest.select(*columns), "cls")
+    members = rest.join(portions, "grp").withColumn("portion", F.explode(F.sequence(F.lit(0).cast("long"), F.col("portions") - 1))).select("grp", "portion", *[F.col(c).alias(c) for c in columns])  # names of their own, for the cogroup
+
+    def compare(group: pa.Table, asked: pa.Table) -> pa.Table:
+        found: list[tuple[int, int]] = []
+        if len(group) and len(asked):
+            own, label, size = tokens_of(group), group["label"].to_numpy(), group["n_shingles"].to_numpy()
+            member, token = np.repeat(np.arange(len(own)), [len(t) for t in own]), np.concatenate(own)
+            order = np.argsort(token, kind="stable")
+            token, member = token[order], member[order]
+            union, n = G.runs(token)
+            held = token[union]
+            for ask, ask_size, tokens in zip(asked["label"].to_pylist(), asked["n_shingles"].to_pylist(), tokens_of(asked)):
+                fits = (100 * size >= percent * ask_size) & (100 * ask_size >= percent * size) & (label != ask)
+                if not fits.any():
+                    continue
+                at = np.minimum(np.searchsorted(held, tokens), len(held) - 1)
+                at = at[held[at] == tokens]
+                if len(at) < sizes.need(ask_size, size[fits].min()):
+                    continue  # not even the union has enough
+                common = np.bincount(member[G.spans(union[at], n[at])], minlength=len(own))
+                hit = fits & (100 * common >= percent * (size + ask_size - common))
+                found.extend((ask, x) for x in np.unique(label[hit]).tolist())
+        a, b = zip(*set(found)) if found else ([], [])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return members.groupBy("grp", "portion").cogroup(queries.groupBy("grp", "portion")).applyInArrow(compare, "a long, b long").distinct()
 
 
 def _components(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, seeds: int, scratch: Scratch) -> DataFrame:
     rows = scratch.table(sparse_sets(docs, id_col, text_col, words, percent), "sets")
-    maybe = rows.where("sig is not null").withColumn("cls", F.xxhash64("sig"))
-    classes = maybe.groupBy("cls").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(int(G.NO_ID))).alias("doc_id"), "n_shingles", "tokens")).alias("c")).select("cls", "c.doc_id", "c.n_shingles", "c.tokens")
-    classes = scratch.table(classes, "classes")
+    maybe = rows.where("sig is not null")
+    classes = maybe.groupBy("sig").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(int(G.NO_ID))).alias("doc_id"), "n_shingles", "tokens")).alias("c"))
+    # numbered as written: the table has one number for each set, whatever the hashes
+    classes = scratch.table(classes.select(F.monotonically_increasing_id().alias("cls"), "sig", "c.doc_id", "c.n_shingles", "c.tokens"), "classes")
+    names = classes.select("cls", "sig", "doc_id")
     token_bytes = 8 * (classes.agg(F.sum(F.size("tokens"))).first()[0] or 0)
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lay = G.Layout(max(least, token_bytes >> 23), max(least, token_bytes >> 24))
     sets = scratch.table(refine(classes, lay, percent, seeds), "refined")
 
-    groups = connected(verified(led(sets), sets, percent), scratch)
-    members = sets.select("cls").join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("cls", F.coalesce("label", "cls").alias("grp"))
-    members = scratch.table(members, "members")
-
-    wide = sets.join(members, "cls").select("cls", "grp", "n_shingles", "tokens")
-    shared = scratch.table(shared_between_groups(wide, lay, percent), "shared")
-    held = shared.select("cls", "grp", "n_shingles", F.explode("tokens").alias("token"))
-    need = F.ceil(F.col("n_shingles") * F.lit(percent) / F.lit(100))
-    matrix = scratch.table(held.select("token", "grp").distinct(), "matrix")
-    rarity = matrix.groupBy("token").agg(F.count("*").alias("n_groups"))
-    order = Window.partitionBy("cls").orderBy("n_groups", "token")
-    ranked = held.join(rarity, "token").select("*", F.row_number().over(order).alias("rank"), F.count("*").over(Window.partitionBy("cls")).alias("n"))
-    rare = ranked.where(F.col("rank") <= F.col("n") - need + 1).select("cls", "grp", "token", "n_shingles", "n")
-    union = matrix.select("token", F.col("grp").alias("other"))
-    # of two linked classes the first common token is rare in both; sizes and held tokens bound their overlap
-    index = rare.select("token", F.col("grp").alias("other"), F.col("n_shingles").alias("size"), F.col("n").alias("most"))
-    near_size = F.lit(100) * F.least("n_shingles", "size") >= F.lit(percent) * F.greatest("n_shingles", "size")
-    can_reach = F.lit(100 + percent) * F.least("n", "most") >= F.lit(percent) * (F.col("n_shingles") + F.col("size"))
-    probed = rare.join(index, "token").where((F.col("grp") != F.col("other")) & near_size & can_reach).select("cls", "other").distinct()
-    bound = held.join(probed, "cls").join(union, ["token", "other"]).groupBy("cls", "n_shingles", "grp", "other").agg(F.count("*").alias("n")).where(F.col("n") >= need)
-    them = held.select(F.col("cls").alias("b"), F.col("grp").alias("other")).distinct()
-    opened = scratch.table(bound.select(F.col("cls").alias("a"), "grp", "other").join(them, "other"), "opened")
-    near = verified(opened.select("a", "b"), sets, percent).join(opened, ["a", "b"]).select(F.col("grp").alias("a"), F.col("other").alias("b"))
-
-    joined = connected(near.distinct(), scratch)
-    whole = members.join(joined.select(F.col("node").alias("grp"), "label"), "grp", "left").select("cls", F.coalesce("label", "grp").alias("label"))
-    named = classes.select("cls", "doc_id").join(whole, "cls", "left").select("cls", "doc_id", F.coalesce("label", "cls").alias("label"))
-    named = scratch.table(named, "named")
+    leaders = scratch.table(led(sets), "leaders")
+    labels = connected(verified(leaders.where("a <> b").select("a", "b").distinct(), sets, percent), scratch)
+    labels = labels.select(F.col("node").alias("cls"), "label")
+    own = sets.select("cls", "n_shingles", "tokens").join(labels, "cls", "left").join(leaders.where("seed = 0").select(F.col("a").alias("cls"), F.col("b").alias("leader")), "cls")
+    wide = own.select("cls", F.coalesce("label", "cls").alias("label"), F.col("label").isNull().alias("loose"), "leader", "n_shingles", "tokens")
+    rest = scratch.table(sifted(wide, lay, percent), "rest")
+
+    # groups: one label or one leader, similar sizes, a bounded number of classes
+    range_ = F.floor(F.log(F.col("n_shingles")) / F.lit(float(Sizes(percent).step)))
+    kin = rest.select("cls", "loose", F.when(F.col("loose"), F.col("leader")).otherwise(F.col("label")).alias("kin"), range_.alias("range"))
+    parts = kin.groupBy("loose", "kin", "range").agg(F.ceil(F.count("*") / F.lit(GROUP_CLASSES)).alias("parts"))
+    grp = F.xxhash64("loose", "kin", "range", F.pmod(F.xxhash64("cls"), F.col("parts")))
+    rest = scratch.table(rest.join(kin.join(parts, ["loose", "kin", "range"]).select("cls", grp.alias("grp")), "cls"), "grouped")
+
+    asking = scratch.table(found_groups(rest), "asking")
+    joined = connected(open_groups(asking, rest, percent), scratch)
+    whole = labels.union(joined.join(labels.select(F.col("cls").alias("node")), "node", "left_anti").select(F.col("node"), F.col("node")))
+    whole = whole.join(joined.select(F.col("node").alias("label"), F.col("label").alias("last")), "label", "left").select("cls", F.coalesce("last", "label").alias("label"))
+    named = scratch.table(names.join(whole, "cls", "left").select("sig", "doc_id", F.coalesce("label", "cls").alias("label")), "named")
     least_id = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_class = named.join(least_id, "label").select("cls", "component_id")
+    of_set = named.join(least_id, "label").select("sig", "component_id")
     alone = rows.where("sig is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    grouped = maybe.join(of_class, "cls").select("doc_id", "n_shingles", F.nullif("component_id", F.lit(int(G.NO_ID))).alias("component_id"))
+    grouped = maybe.join(of_set, "sig").select("doc_id", "n_shingles", F.nullif("component_id", F.lit(int(G.NO_ID))).alias("component_id"))
     return alone.union(grouped)
 
 

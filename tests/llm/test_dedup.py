@@ -107,3 +107,25 @@ def test_kept_columns(spark):
         out = operator(docs, keep=("source", "__group", "text"))
         assert out.columns[-2:] == ["source", "__group"]
         assert out.where("source = 'x'").count() == docs.count()
+
+
+def test_jaccard_of_large_groups_of_copies(spark, monkeypatch):
+    """Exact copies, near copies at every distance from their original, and copies that share deletions."""
+    monkeypatch.setattr(jaccard_join, "GROUP_CLASSES", 8)
+    monkeypatch.setattr(jaccard_join, "PORTION", 16)
+    r = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(400)]
+    docs = []
+    for base in range(3):
+        original = [r.choice(vocabulary) for _ in range(60)]
+        docs += [" ".join(original)] * 40
+        for _ in range(70):
+            copy = list(original)
+            for _ in range(r.randrange(1, 6)):
+                copy[r.randrange(0, 30)] = r.choice(vocabulary[:4])  # few places, few words: edits are shared
+            if r.random() < 0.3:
+                del copy[r.randrange(40) : r.randrange(41, 60)]
+            docs.append(" ".join(copy))
+    r.shuffle(docs)
+    docs = list(enumerate(docs))
+    assert rows(jaccard_join.jaccard_components(frame(spark, docs))) == sorted(brute.jaccard(docs), key=repr)
