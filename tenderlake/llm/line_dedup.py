@@ -16,9 +16,9 @@ A hash group is reduced to its earliest lines, inside a group of documents and
 then across groups, so no pairs are formed.
 
 Semantics. Lines end at line feeds and are compared by their words (white space
-is ignored). Lines of fewer than ``min_words`` words stay; those of fewer than
-``near_words`` go only if an equal line is earlier, and no other line goes because
-of them. Lines without words stay. Order is (doc_id with
+is ignored). Lines of fewer than ``near_words`` words go only if an equal line is
+earlier, and no other line goes because of them: from three words on, one edit
+leaves most of a line's words equal. Lines without words stay. Order is (doc_id with
 null first, text for rows of one id, line). Null text counts as empty: no lines,
 empty kept text. Extra columns are ignored unless named in ``keep``; an output
 column takes precedence over a kept one of the same name.
@@ -42,7 +42,7 @@ FULL, SHORTER, REPLACED = 0, 1, 2
 
 @dataclass
 class Lines:
-    """Lines with enough words, in order; and of each of their words the line and the variant without it."""
+    """Lines with words, in order; and of each of their words the line and the variant without it."""
 
     whole: np.ndarray  #: hash of each line
     doc: np.ndarray  #: position of its document in the group
@@ -53,14 +53,14 @@ class Lines:
     typed: np.ndarray  #: the same with length and position
 
 
-def lines_of(table: pa.Table, min_words: int, near_words: int) -> Lines:
+def lines_of(table: pa.Table, near_words: int) -> Lines:
     parts = []
     for d, w in G.text_slices(table):
         h, n_all = w.hashes(), len(w.starts)
         feeds = np.flatnonzero(w.data == 10)
         at = np.searchsorted(feeds, w.starts)
         start, n = G.runs(at + w.doc)
-        use = np.repeat(n >= max(min_words, near_words), n)
+        use = np.repeat(n >= near_words, n)
         place = np.arange(n_all) - np.repeat(start, n)
         power = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(int(n.max(initial=0)), _RADIX)]))
         total = np.concatenate([[np.uint64(0)], np.cumsum(h * power[place])])
@@ -69,11 +69,10 @@ def lines_of(table: pa.Table, min_words: int, near_words: int) -> Lines:
         size = np.repeat(n, n).astype(np.uint64)
         variant = W.mix(total[:-1] - s + (e - total[1:]) * _INVERSE + (size - np.uint64(1)) * _SALT)
         typed = W.mix(variant + size * _RADIX + (place.astype(np.uint64) + np.uint64(1)) * _SALT)
-        long = n >= min_words
         doc = w.doc[start]
         # the first line of a document has number 0: line feeds before the document do not count
         first_feed = at[start] - np.searchsorted(feeds, w.begin[doc])
-        parts.append((W.mix(whole + n.astype(np.uint64) * _SALT)[long], (d + doc)[long], first_feed[long], n[long] >= near_words, np.repeat(np.cumsum(long) - 1, n)[use], variant[use], typed[use]))
+        parts.append((W.mix(whole + n.astype(np.uint64) * _SALT), (d + doc), first_feed, n >= near_words, np.repeat(np.arange(len(n)), n)[use], variant[use], typed[use]))
     base = np.cumsum([0] + [len(p[0]) for p in parts])
     return Lines(*(np.concatenate([p[k] + (b if k == 4 else 0) if k != 3 else p[k] for p, b in zip(parts, base)]) for k in range(7)))
 
@@ -86,9 +85,8 @@ def firsts(whole: np.ndarray) -> np.ndarray:
     return out
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 8, keep: tuple[str, ...] = (), near_words: int | None = None) -> DataFrame:
-    """Columns: doc_id, n_lines, n_removed, kept_text (kept lines joined by line feeds), and ``keep``. ``near_words`` is ``min_words`` if not given."""
-    near_words = min_words if near_words is None else near_words
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), near_words: int = 3) -> DataFrame:
+    """Columns: doc_id, n_lines, n_removed, kept_text (kept lines joined by line feeds), and ``keep``."""
     if near_words < 2:
         raise ValueError("lines that may differ by a word have two words at least")
     keep = tuple(c for c in keep if c not in ("doc_id", "text", "n_lines", "n_removed", "kept_text", id_col, text_col))
@@ -99,7 +97,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def wholes(table: pa.Table) -> pa.Table:
         table = G.sorted_docs(table)
-        x = lines_of(table, min_words, near_words)
+        x = lines_of(table, near_words)
         pick = np.flatnonzero(firsts(x.whole))
         pick = pick[np.argsort(bucket_of(x.whole[pick]), kind="stable")]
         doc = G.ids_of(table)[x.doc[pick]]
@@ -128,7 +126,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def neighbourhood(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(table):
             return G.empty(G.PACKED)
-        x = lines_of(G.sorted_docs(table), min_words, near_words)
+        x = lines_of(G.sorted_docs(table), near_words)
         led = leaders(x, answers)
         keys = G.short_key(np.concatenate([x.whole[led & x.near], x.variant[led[x.line]]]), lay.buckets)
         return G.presence(keys, np.zeros(len(keys), bool), table[G.GROUP][0].as_py())
@@ -137,7 +135,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if not len(table) or not len(answers):
             return G.empty(G.PACKED)
         table, hits = G.sorted_docs(table), G.keys_in(answers.filter(pa.array([k == 1 for k in answers["kind"].to_pylist()], pa.bool_())))
-        x = lines_of(table, min_words, near_words)
+        x = lines_of(table, near_words)
         led = leaders(x, answers)
         a = np.flatnonzero(led & x.near & G.member(G.short_key(x.whole, lay.buckets), hits))
         b = np.flatnonzero(led[x.line] & G.member(G.short_key(x.variant, lay.buckets), hits))
@@ -187,7 +185,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
         table = G.sorted_docs(table)
-        x = lines_of(table, min_words, near_words)
+        x = lines_of(table, near_words)
         stay = leaders(x, answers)
         texts, n_lines, n_removed, kept = table["text"].to_pylist(), [], [], []
         gone = ~stay
@@ -215,10 +213,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return dealt.groupBy(G.GROUP).cogroup(equal.union(near).groupBy(G.GROUP)).applyInArrow(cut, schema)
 
 
-#: Every line that has words; from three words on, one edit leaves most of a line's words equal.
-EVERY_LINE = {"min_words": 1, "near_words": 3}
-
-
 def query(spark, sf_dir: str) -> DataFrame:
-    out = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"), **EVERY_LINE)
+    out = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))

@@ -205,10 +205,24 @@ def probability(model, x: np.ndarray) -> np.ndarray:
     return np.interp(features(x) @ weights, *curve)
 
 
-def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score reaches the threshold. No row is shuffled."""
+def sampled(labels: DataFrame, rows: int) -> DataFrame:
+    """Labels of about ``rows`` ids at most, chosen by a hash of the id; all of them if there are no more."""
+    n = labels.select("doc_id").distinct().count()
+    share = min(1.0, rows / max(n, 1))
+    return labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, sample_rows: int = 200_000) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches the threshold. No row is shuffled.
+
+    The model is fitted on labels of ``sample_rows`` ids at most, so their ids can be
+    broadcast, and only the texts of labelled rows are reduced twice.
+    """
+    labels = sampled(labels, sample_rows)
+    known = F.broadcast(labels.select(F.col("doc_id").alias("__labelled")).distinct())
+    labelled = docs.join(known, F.col(f"`{id_col}`").cast("long") == F.col("__labelled"), "left_semi")
     with Scratch(docs.sparkSession, "quality") as scratch:
-        model = fit(scratch.table(stats_table(docs, id_col, text_col), "stats"), labels)
+        model = fit(scratch.table(stats_table(labelled, id_col, text_col), "stats"), labels)
 
     def choose(batches):
         for batch in batches:

@@ -35,19 +35,18 @@ def within_one(a, b):
     return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
 
 
-def line_dedup(docs, min_words=8):
-    before, out = [], []
+def line_dedup(docs, near_words=3):
+    equal, before, out = set(), {}, []
     for doc, text in ordered(docs):
-        lines = (text or "").split("\n") if text else []
-        kept = []
+        lines, kept = text.split("\n") if text else [], []
         for line in lines:
             w = WORD.findall(line)
-            if len(w) < min_words:
+            near = len(w) >= near_words
+            if not w or not (tuple(w) in equal or near and any(within_one(w, x) for n in (-1, 0, 1) for x in before.get(len(w) + n, ()))):
                 kept.append(line)
-                continue
-            if not any(within_one(w, x) for x in before if abs(len(x) - len(w)) <= 1):
-                kept.append(line)
-            before.append(w)
+            equal.add(tuple(w))
+            if near:
+                before.setdefault(len(w), []).append(w)
         out.append((doc, len(lines), len(lines) - len(kept), sha("\n".join(kept))))
     return out
 

@@ -35,29 +35,13 @@ def test_search_reads_postings_of_chosen_blocks_only(monkeypatch):
     assert sum(read[1:]) <= 4 * block < shard.end[0] - shard.start[0]
 
 
-def plain_lines(docs, near_words=3):
-    equal, before, out = set(), [], []
-    for doc, text in brute.ordered(docs):
-        lines, kept = text.split("\n") if text else [], []
-        for line in lines:
-            w = brute.WORD.findall(line)
-            near = len(w) >= near_words
-            if not w or not (tuple(w) in equal or near and any(brute.within_one(w, x) for x in before if abs(len(x) - len(w)) <= 1)):
-                kept.append(line)
-            equal.add(tuple(w))
-            if near:
-                before.append(w)
-        out.append((doc, len(lines), len(lines) - len(kept), brute.sha("\n".join(kept))))
-    return out
-
-
 def test_short_lines_are_compared(spark):
     docs = [(1, "MIT\nAll rights reserved.\nReleased under the MIT License.\n\na b"), (2, "MIT\n  All rights  reserved.\nReleased under the BSD License.\n\na c\nGPL"), (3, "All rights reserved\na b c\na b\nAll rights are reserved.\n")]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {r.doc_id: r.kept_text for r in line_dedup.dedup_lines(frame, **line_dedup.EVERY_LINE).collect()}
+    got = {r.doc_id: r.kept_text for r in line_dedup.dedup_lines(frame).collect()}
     assert got == {1: docs[0][1], 2: "\na c\nGPL", 3: "a b c\n"}
 
 
 def test_lines_of_the_table(spark, sf_dir):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
-    assert sorted(map(tuple, line_dedup.query(spark, sf_dir).collect())) == sorted(plain_lines(docs))
+    assert sorted(map(tuple, line_dedup.query(spark, sf_dir).collect())) == sorted(brute.line_dedup(docs))
