@@ -3,94 +3,76 @@
 A boundary between a character that is no space mark and a space mark is proven
 stable if no piece of the model holds a space mark after another character: then
 no merge can cross it, whatever the context. The proof is made over the model's
-vocabulary when it is loaded. Between stable boundaries lie segments; equal
-segments have equal tokens, so each is encoded by the library once per worker.
+vocabulary when it is loaded.
 
-A text of more than ``chunk_chars`` is encoded in chunks that overlap, with the
-offset of every token boundary. Neighbouring chunks are spliced at a stable
-boundary that both have inside the overlap; the chunk's cut edges, where its
-tokens may be wrong, are thereby discarded. Without a common one the overlap is
-widened, to the whole text at worst.
+A text of more than ``chunk_chars`` is encoded by the library in chunks that overlap,
+with the offset of every token. Neighbouring chunks are spliced at a position in
+the overlap where both encodings begin a token and the boundary is stable: before
+it the first chunk's tokens are those of the whole text, after it the second's,
+so what the cut edges spoil is thrown away. Where the two do not agree at any such
+position the overlap is widened, and at last the first chunk is lengthened, up to
+the whole text (a text without spaces). Texts that fit a chunk are one chunk.
 
 Semantics: null counts as empty (0 bytes, 0 tokens). Rows are counted one by one,
 so repeated rows, ties and extra columns don't matter.
 """
 
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MARK = "▁"
-SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+MARKS = " \u2581"  #: the library writes a space as the second of these
 
 
 class PieceCounter:
-    """Counts of one model, with a bounded memory of segments."""
+    """Counts of one model."""
 
-    def __init__(self, model_file: str, chunk_chars: int = 1 << 15, overlap: int = 512, memory: int = 300_000):
+    def __init__(self, model_file: str, chunk_chars: int = 1 << 14, overlap: int = 256):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=model_file)
-        self.chunk, self.overlap, self.memory = chunk_chars, overlap, memory
-        self.counts: dict[str, int] = {MARK: 1}
+        self.chunk, self.overlap = chunk_chars, overlap
         pieces = (self.model.id_to_piece(i) for i in range(self.model.vocab_size()))
-        self.stable = not any(MARK in p.lstrip(MARK) for p in pieces)
-
-    def learn(self, segments: set[str]) -> None:
-        fresh = [s for s in segments if s not in self.counts]
-        if len(self.counts) + len(fresh) > self.memory:
-            self.counts = {MARK: 1}
-            fresh = [s for s in segments if s != MARK]
-        # the library puts a space mark before every text: the segment's own first one
-        plain = [(s[1:] if s[0] == MARK else s).replace(MARK, " ") for s in fresh]
-        self.counts.update(zip(fresh, map(len, self.model.encode(plain, num_threads=1))))
+        self.stable = not any(MARKS[1] in p.lstrip(MARKS[1]) for p in pieces)
 
     def count(self, texts: list[str]) -> list[int]:
-        if not self.stable:
-            return [len(x) for x in self.model.encode(texts, num_threads=1)]
-        marked = [MARK + t.replace(" ", MARK) if t else "" for t in texts]
-        short = [SEGMENT.findall(t) if len(t) <= self.chunk else [] for t in marked]
-        self.learn(set().union(*short))
-        get = self.counts.__getitem__
-        return [sum(map(get, s)) if len(t) <= self.chunk else self.spliced(t) for s, t in zip(short, marked)]
-
-    def encoded(self, text: str, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of segment boundaries of a chunk, its start included, and the tokens before each."""
-        segments = SEGMENT.findall(text, start, end)
-        self.learn(set(segments))
-        ends = np.cumsum([0] + [len(s) for s in segments]) + start
-        return ends, np.cumsum([0] + [self.counts[s] for s in segments])
+        whole = [t for t in texts if len(t) <= self.chunk or not self.stable]
+        counts = iter(self.model.encode(whole, num_threads=1)) if whole else iter(())
+        return [len(next(counts)) if len(t) <= self.chunk or not self.stable else self.spliced(t) for t in texts]
+
+    def begins(self, text: str, start: int, end: int) -> np.ndarray:
+        """Where the tokens of a chunk begin in the text, in order."""
+        offsets = self.model.encode_as_offset_mapping(text[start:end])["offsets"]
+        return np.array([a for a, _ in offsets], np.int64) + start
+
+    def meeting(self, text: str, first: np.ndarray, second: np.ndarray, begin: int, end: int) -> int | None:
+        """The last stable boundary inside the overlap at which both chunks begin a token."""
+        both = np.intersect1d(first[(first > begin) & (first < end)], second[(second > begin) & (second < end)])
+        return next((p for p in both[::-1].tolist() if text[p] in MARKS and text[p - 1] not in MARKS), None)
 
     def spliced(self, text: str) -> int:
-        total, start, taken = 0, 0, 0
-        chunk = self.chunk
-        while True:
-            end = min(len(text), start + chunk)
-            at, tokens = self.encoded(text, start, end)
-            base = tokens[np.searchsorted(at, taken)]
-            if end == len(text):
-                return total + int(tokens[-1] - base)
-            overlap = self.overlap
-            while True:
+        total, taken, start, end = 0, 0, 0, min(len(text), self.chunk)
+        first = self.begins(text, start, end)
+        while end < len(text):
+            overlap, at = self.overlap, None
+            while at is None:
                 begin = max(taken, end - overlap)
-                other, _ = self.encoded(text, begin, end)
-                # inner boundaries only: the edges of either chunk are cuts, not boundaries
-                common = np.intersect1d(at[(at > taken) & (at < end)], other[(other > begin) & (other < end)])
-                if len(common) or begin == taken:
+                until = min(len(text), begin + max(self.chunk, 2 * overlap))
+                second = self.begins(text, begin, until)
+                at = self.meeting(text, first, second, begin, end)
+                if begin == taken:
                     break
                 overlap *= 2
-            if len(common):
-                splice = int(common[-1])
-                total += int(tokens[np.searchsorted(at, splice)] - base)
-                start, taken, chunk = max(taken, end - overlap), splice, self.chunk
-                if start == splice:
-                    start = splice
+            if at is None:  # no stable boundary in all of the first chunk that is not counted yet
+                end = min(len(text), end + (end - start))
+                first = self.begins(text, start, end)
             else:
-                chunk *= 2  # no stable boundary so far: a longer chunk from the same start
+                total += int(np.searchsorted(first, at) - np.searchsorted(first, taken))
+                first, start, end, taken = second, begin, until, at
+        return total + int(len(first) - np.searchsorted(first, taken))
 
 
 class LibraryCounter:

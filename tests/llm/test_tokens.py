@@ -50,6 +50,21 @@ def test_splicing(chunk, overlap):
     assert own.count(values) == [len(x) for x in own.model.encode(values)]
 
 
+def test_chunk_edges_are_thrown_away(monkeypatch):
+    """Chunks cut inside words have tokens that the whole text has not; long runs without spaces widen the overlap."""
+    own = token_counts.PieceCounter(public_tokenizers.path("piece_bpe_32k.model"), chunk_chars=97, overlap=16)
+    r = random.Random(8)
+    text = " ".join("".join(r.choice("abcdefgh") for _ in range(r.choice([3, 9, 14, 60, 130]))) for _ in range(300))
+    right = len(own.model.encode(text))
+    chunks = []
+    plain = own.begins
+    monkeypatch.setattr(own, "begins", lambda t, a, b: chunks.append((a, b)) or plain(t, a, b))
+    assert own.spliced(text) == right
+    assert sum(len(own.model.encode(text[i : i + 97])) for i in range(0, len(text), 97)) != right
+    assert len(chunks) > len(text) / 120 and max(b - a for a, b in chunks) > 97 > min(b - a for a, b in chunks)
+    assert own.spliced("z" * 1000) == len(own.model.encode("z" * 1000))
+
+
 def test_counts_by_the_other_library(spark):
     values = texts(3, 50)
     got = token_counts.count_tokens(frame(spark, values), public_tokenizers.path("byte_bpe_50k.json"))
