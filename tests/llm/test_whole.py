@@ -25,14 +25,24 @@ def test_search_reads_postings_of_chosen_blocks_only(monkeypatch):
     hashes = np.where(first, 7, r.integers(100, 10**6, len(doc))).astype(np.uint64)
     shard = search.Shard(np.arange(docs), hashes, doc, lengths.mean(), block)
     shard.weigh(np.ones(len(shard.terms)))
-    read = []
-    plain = search.spans
-    monkeypatch.setattr(search, "spans", lambda start, n: read.append(int(n.sum())) or plain(start, n))
-    found, scores = shard.best(np.array([7], np.uint64), 10)
+    opened = []
+    plain = search.Shard.scores_in
+    monkeypatch.setattr(search.Shard, "scores_in", lambda self, b, runs, rows: opened.append((b, int(self.lengths[runs].sum()))) or plain(self, b, runs, rows))
+    _, scores = shard.best(np.array([7], np.uint64), 10)
     term = slice(shard.start[0], shard.end[0])
     want = np.sort(shard.impact[term])[::-1][:10]
     assert np.array_equal(np.sort(scores)[::-1][:10], want)
-    assert sum(read[1:]) <= 4 * block < shard.end[0] - shard.start[0]
+    assert len(opened) <= 4 and sum(n for _, n in opened) <= 4 * block < shard.end[0] - shard.start[0]
+    # terms of one document each: cursors jump to the blocks that hold them
+    opened.clear()
+    rare = np.flatnonzero(shard.end - shard.start == 1)[:3]
+    found, scores = shard.best(shard.terms[rare], 10)
+    assert sorted(found) == sorted(set(shard.doc[shard.start[rare]])) and {b for b, _ in opened} == {d // block for d in found}
+    # with a threshold that only a document with all terms reaches, most are never opened
+    opened.clear()
+    many = np.unique(hashes[doc == 17])
+    found, scores = shard.best(many, 1)
+    assert shard.ids[found[scores.argmax()]] == 17 and len(opened) < shard.blocks
 
 
 def test_short_lines_are_compared(spark):
