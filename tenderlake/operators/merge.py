@@ -71,9 +71,10 @@ def upsert_relations(old: DataFrame, new: DataFrame, keys: list[str], at: str =
     return seen.groupBy(*keys).agg(F.min("first_seen_at").alias("first_seen_at"), F.max(at).alias(at))
 
 
-def vanished_relations(existing: DataFrame, desired: DataFrame, parents: DataFrame, parent_key: str, keys: list[str]) -> DataFrame:
+def vanished_relations(existing: DataFrame, desired: DataFrame, parents: DataFrame, parent_key: str | list[str], keys: list[str]) -> DataFrame:
     """Edges of parents in the batch that the batch no longer has. Other parents' edges are safe."""
-    scope = parents.select(parent_key).distinct()
+    parent_key = [parent_key] if isinstance(parent_key, str) else parent_key
+    scope = parents.select(*parent_key).distinct()
     return existing.join(scope, parent_key, "left_semi").join(desired.select(*keys), keys, "left_anti")
 
 
@@ -145,8 +146,10 @@ def apply_outcomes(worklist: DataFrame, outcomes: DataFrame, keys: list[str], er
     """Next work list, history rows and failure rows of an outcome log.
 
     outcomes: keys, attempt, outcome (success, failed, retry), retry_at, error, at.
-    Only outcomes of an item's current attempt count.
+    Only outcomes of an item's current attempt count, and of those of one attempt
+    (a log read twice) the latest.
     """
+    outcomes = latest_per_key(outcomes, [*keys, "attempt"], [F.desc("at"), "outcome", "retry_at", "error"])
     told = outcomes.select(*keys, F.col("attempt"), "outcome", "retry_at", F.left("error", F.lit(error_chars)).alias("error"), "at")
     met = worklist.join(told, [*keys, "attempt"])
     history = met.where("outcome <> 'retry'").select(*keys, "attempt", "outcome", "error", "at")

@@ -144,10 +144,12 @@ def published_at(t):
 
 
 def lists(t):
-    """A list document per order: its lines under nested keys."""
+    """A list document per order: its lines under nested keys, for even orders four keys deep and with totals of two names."""
     item = F.to_json(F.struct(F.col("l_linenumber").alias("id"), F.col("l_partkey").cast("string").alias("lotNumber")))
     rows = t.lineitem.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(item)), ",").alias("j"), F.count("*").alias("n"))
-    return rows.select(F.col("l_orderkey").cast("string").alias("notice"), F.concat(F.lit('{"data":{"content":['), "j", F.lit(',{"x":1}],"totalElements":"'), "n", F.lit('"}}')).alias("body"))
+    flat = F.concat(F.lit('{"data":{"content":['), "j", F.lit(',{"x":1}],"totalElements":"'), "n", F.lit('"}}'))
+    deep = F.concat(F.lit('{"total":"many","data":{"results":{"result":{"items":{"content":['), "j", F.lit(',{"x":1}]},"total":-1,"totalCount":'), "n", F.lit("}}}}"))
+    return rows.select(F.col("l_orderkey").cast("string").alias("notice"), F.when(F.col("l_orderkey") % 2 == 0, deep).otherwise(flat).alias("body"))
 
 
 @query("c8_discovered_items", "SELECT CAST(l_orderkey AS VARCHAR) AS notice, CAST(l_linenumber AS VARCHAR) AS source_entity_id, CAST(l_partkey AS VARCHAR) AS business_number, 3 AS priority FROM lineitem")
@@ -281,3 +283,99 @@ def delivery_terms(t):
     registry = t.part.select("p_partkey", source_of("p_partkey").alias("source"))
     rebuilt = F.when(F.col("source") == "portal_a", F.coalesce(C.delivery_schedule(F.col("source_payload"), "ru"), F.col("delivery_terms_ru"))).otherwise(F.col("delivery_terms_ru"))
     return stored.join(registry, "p_partkey").select("p_partkey", rebuilt.alias("delivery_terms_ru"))
+
+
+PORTAL = "https://portal.example"
+
+
+def list_pages(t):
+    """A list page per order, as the portal writes it: a grid of its lots."""
+    row = F.concat(F.lit('<tr><td><a href="/ru/publics/lot/'), "l_orderkey", F.lit("-"), "l_linenumber", F.lit('?tab=1">L-'), "l_linenumber", F.lit("</a></td><td>"), F.col("l_quantity").cast("int"), F.lit("</td></tr>"))
+    rows = t.lineitem.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(row)), "").alias("rows"))
+    html = F.concat(F.lit('<div class="grid-view"><table><thead><tr><th>№ лота</th><th>Количество</th></tr></thead><tbody>'), "rows", F.lit("</tbody></table></div>"))
+    return B.parse_pages(rows.select(F.col("l_orderkey").alias("page_id"), html.alias("html")))
+
+
+@query("b2_table_rows", "SELECT l_orderkey AS page_id, '№ лота|Количество' AS headers, count(*) AS n_rows, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS quantity FROM lineitem GROUP BY 1")
+def table_rows(t):
+    rows = list_pages(t).select("page_id", F.explode("tables").alias("t")).select("page_id", F.array_join("t.headers", "|").alias("headers"), F.explode("t.rows.cells").alias("cells"))
+    return rows.groupBy("page_id", "headers").agg(F.count("*").alias("n_rows"), F.sum(F.element_at("cells", 2).cast("long")).alias("quantity"))
+
+
+@query("b4_discovered_items", "SELECT DISTINCT l_orderkey AS page_id, 'lot' AS entity_type, concat(l_orderkey, '-', l_linenumber) AS source_entity_id, concat('L-', l_linenumber) AS business_number, 5 AS priority FROM lineitem")
+def listed_items(t):
+    return B.discovered_items(list_pages(t), "lot", PORTAL, "portal_a", 5).select("page_id", "entity_type", "source_entity_id", "business_number", "priority")
+
+
+@query("b5_identities", f"""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'lot' WHEN 1 THEN 'notice' WHEN 2 THEN 'plan_item' WHEN 3 THEN 'organization' END AS entity_type,
+    CASE WHEN o_orderkey % 5 < 4 THEN CAST(o_orderkey AS VARCHAR) END AS source_entity_id, CASE o_orderkey % 5 WHEN 0 THEN '{PORTAL}/ru/publics/lot/' WHEN 1 THEN '{PORTAL}/ru/publics/buy/' WHEN 2 THEN '{PORTAL}/ru/publics/point/' WHEN 3 THEN '{PORTAL}/ru/publics/subject/' END || o_orderkey || '?x=1' AS canonical_url FROM orders""")
+def identities(t):
+    word = F.element_at(F.array(*map(F.lit, ["lot", "buy", "point", "subject", "news"])), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    found = B.identity_of(F.concat(F.lit("/ru/publics/"), word, F.lit("/"), "o_orderkey", F.lit("?x=1")), PORTAL, "portal_a")
+    return t.orders.select("o_orderkey", found.alias("i")).select("o_orderkey", "i.entity_type", "i.source_entity_id", "i.canonical_url")
+
+
+def detail_pages(t):
+    """A detail page per order, as the portal writes it: fields, a place, a document and links."""
+    key, money = F.col("o_orderkey"), lambda c: F.translate(c.cast("decimal(18,2)").cast("string"), ".", ",")
+    field = lambda label, *value: F.concat(F.lit(f"<tr><th>{label}</th><td>"), *value, F.lit("</td></tr>"))
+    html = F.concat(
+        F.lit('<html><head><title>t</title><script>var x = "<td>no</td>";</script></head><body><h1 class="page-title">Объявление '), key, F.lit('</h1><table class="detail-view">'),
+        field(B.FIELDS["status"], F.col("o_orderstatus")), field(B.FIELDS["status"], F.lit("second")),
+        field(B.COST, money(F.col("o_totalprice")), F.lit(" KZT x 2 Комплект = "), money(F.col("o_totalprice") * 2), F.lit(" KZT")),
+        field(B.CUSTOMER, F.lit('<a href="/ru/publics/subject/'), "o_custkey", F.lit('">x</a>')),
+        F.lit(f'</table><h3>{B.PLACES}</h3><div class="grid-view"><table><thead><tr><th>{B.COUNTRY}</th><th>{B.PLACE}</th><th>{B.QUANTITY}</th></tr></thead><tbody><tr data-key="p'), key, F.lit('"><td>KZ</td><td>DDP г. '), key, F.lit("</td><td>"), key % 90, F.lit(",5</td></tr></tbody></table></div>"),
+        F.lit(f'<h3>{B.DOCUMENTS}</h3><div class="grid-view"><table><thead><tr><th>{B.FILE}</th><th>{B.SIZE}</th><th></th></tr></thead><tbody><tr data-key="d'), key, F.lit('"><td>План '), key, F.lit(".PDF</td><td>"), key % 7 + 1, F.lit(f' КБ</td><td><a title="{B.DOWNLOAD}" href="/f/'), key, F.lit('">x</a></td></tr></tbody></table></div>'),
+        F.lit('<a href="/ru/publics/lot/'), key, F.lit('-1">lot</a><a href="/ru/publics/buy/'), key, F.lit('">self</a><a href="/ru/publics/point/'), key % 97, F.lit('">plan</a></body></html>'),
+    )
+    return B.parse_pages(t.orders.select(key.alias("page_id"), html.alias("html")))
+
+
+def page_identities(t):
+    return t.orders.select(F.col("o_orderkey").alias("page_id"), F.lit("notice").alias("entity_type"), F.col("o_orderkey").cast("string").alias("source_entity_id"), F.col("o_orderkey").cast("string").alias("business_number"))
+
+
+@query("b3_detail_fields", "SELECT o_orderkey AS page_id, o_orderstatus AS status, '/ru/publics/subject/' || o_custkey AS customer_link, 3 AS n_fields FROM orders")
+def detail_fields(t):
+    return detail_pages(t).select("page_id", F.col("fields")[B.FIELDS["status"]].alias("status"), F.col("field_links")[B.CUSTOMER].alias("customer_link"), F.size("fields").alias("n_fields"))
+
+
+@query("b6_page_edges", """SELECT o_orderkey AS page_id, 'lot' AS child_type, o_orderkey || '-1' AS child_id, 'notice_to_lot' AS relation_type FROM orders UNION ALL SELECT o_orderkey, 'plan_item', CAST(o_orderkey % 97 AS VARCHAR), NULL FROM orders
+    UNION ALL SELECT o_orderkey, 'organization', CAST(o_custkey AS VARCHAR), NULL FROM orders""")
+def page_edges(t):
+    return B.page_links(detail_pages(t), page_identities(t).drop("business_number"), PORTAL, "portal_a").select("page_id", "child_type", "child_id", "relation_type")
+
+
+@query("b9_delivery_places", "SELECT o_orderkey AS page_id, 'p' || o_orderkey AS source_row_id, 'KZ' AS country, 'DDP г. ' || o_orderkey AS address, CAST(CAST(o_orderkey % 90 + 0.5 AS DECIMAL(24,6)) AS VARCHAR) AS quantity, 'DDP' AS incoterms FROM orders")
+def page_places(t):
+    return B.delivery_places(detail_pages(t)).withColumn("quantity", F.col("quantity").cast("string")).drop("source_payload")
+
+
+@query("b10_page_documents", f"SELECT o_orderkey AS page_id, 'd' || o_orderkey AS source_document_id, 'План ' || o_orderkey || '.PDF' AS filename, 'pdf' AS extension, '{PORTAL}/f/' || o_orderkey AS url, CAST((o_orderkey % 7 + 1) * 1024 AS BIGINT) AS size_bytes, 'application/pdf' AS inferred_content_type FROM orders")
+def page_documents(t):
+    return B.page_documents(detail_pages(t), PORTAL).select("page_id", "source_document_id", "filename", "extension", "url", F.col("size_bytes").cast("long").alias("size_bytes"), "inferred_content_type")
+
+
+@query("b11_detail_entities", """SELECT o_orderkey AS page_id, 'notice' AS entity_type, CAST(o_orderkey AS VARCHAR) AS source_entity_id, o_orderstatus AS status, 'Объявление ' || o_orderkey AS title_ru, CAST(o_custkey AS VARCHAR) AS customer_id,
+    CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(24,6)) AS VARCHAR) AS unit_price, CAST(CAST(CAST(o_totalprice * 2 AS DECIMAL(18,2)) AS DECIMAL(24,6)) AS VARCHAR) AS total_amount, 'KZT' AS currency FROM orders""")
+def page_entities(t):
+    out = B.detail_entities(detail_pages(t), page_identities(t), PORTAL, "portal_a")
+    return out.select("page_id", "entity_type", "source_entity_id", "status", "title_ru", "customer_id", F.col("unit_price").cast("string").alias("unit_price"), F.col("total_amount").cast("string").alias("total_amount"), "currency")
+
+
+@query("c6_item_lists", "SELECT CAST(l_orderkey AS VARCHAR) AS notice, count(*) + 1 AS n_items FROM lineitem GROUP BY 1")
+def item_lists(t):
+    return lists(t).select("notice", C.items(F.col("body")).alias("items")).select("notice", F.size("items").cast("long").alias("n_items"))
+
+
+@query("c9_walk", "SELECT CAST(l_orderkey AS VARCHAR) AS key, count(*) + CASE WHEN l_orderkey % 2 = 0 THEN 6 ELSE 3 END AS n_objects, count(*) AS with_id FROM lineitem GROUP BY l_orderkey")
+def walk(t):
+    return C.walk(lists(t), "notice", "body").groupBy("key").agg(F.count("*").alias("n_objects"), F.count(F.get_json_object("object", "$.id")).alias("with_id"))
+
+
+@query("c11_delivery_places", "SELECT o_orderkey, '1' AS source_row_id, 'KZ' AS country, 'Склад ' || o_orderkey AS address, CAST(CAST(o_orderkey % 50 AS DECIMAL(24,6)) AS VARCHAR) AS quantity FROM orders WHERE o_orderkey % 3 <> 0")
+def json_places(t):
+    place = F.to_json(F.struct(F.lit(1).alias("id"), F.lit("KZ").alias("country"), F.concat(F.lit("Склад "), "o_orderkey").alias("address"), (F.col("o_orderkey") % 50).alias("quantity")))
+    body = F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit('{"deliveryPlaces":['), place, F.lit("]}"))).otherwise(F.lit("{}"))
+    rows = t.orders.select("o_orderkey", F.explode(C.delivery_places(body)).alias("p"))
+    return rows.select("o_orderkey", "p.source_row_id", "p.country", "p.address", F.col("p.quantity").cast("string").alias("quantity"))

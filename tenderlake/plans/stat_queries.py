@@ -253,7 +253,7 @@ def length_limits(t):
     return I.length_violations(t.documents, {"lang": 1, "text": 5000})
 
 
-PAGES_SQL = "p AS (SELECT user_id, event_id // 50 AS window_id, event_id AS page, CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'empty' ELSE 'items' END AS status, event_id % 10 AS n_items FROM events WHERE user_id % 2 = 0)"
+PAGES_SQL = "p AS (SELECT user_id, event_id // 50 AS window_id, event_id AS page, CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'empty' ELSE 'items' END AS status, event_id % 10 AS n_items FROM events)"
 
 
 @query(
@@ -262,7 +262,7 @@ PAGES_SQL = "p AS (SELECT user_id, event_id // 50 AS window_id, event_id AS page
     a AS (SELECT user_id, window_id, min(stop) AS stop, max(CASE WHEN page = stop THEN status END) AS how, max(page) AS last_page, count(*) AS requested, count(*) FILTER (WHERE stop IS NULL OR page < stop) AS useful,
       coalesce(sum(n_items) FILTER (WHERE stop IS NULL OR page < stop), 0) AS items, count(*) FILTER (WHERE page > stop AND status = 'empty') AS se, count(*) FILTER (WHERE page > stop AND status = 'failed') AS ig FROM s GROUP BY 1, 2),
     b AS (SELECT *, coalesce(how = 'failed', false) AS rejected, coalesce(how = 'empty', false) AS completed FROM a)
-    SELECT user_id, window_id, rejected, completed, CASE WHEN completed THEN stop END AS terminal_page, CASE WHEN NOT rejected THEN coalesce(stop, last_page + 1) END AS next_page, CASE WHEN rejected THEN 0 ELSE items END AS items,
+    SELECT user_id, window_id, rejected, completed, CASE WHEN completed THEN stop END AS terminal_page, CASE WHEN NOT rejected THEN coalesce(stop, last_page + 1) END AS next_page, CAST(CASE WHEN rejected THEN 0 ELSE items END AS BIGINT) AS items,
     CASE WHEN NOT rejected THEN useful + CAST(completed AS INTEGER) END AS meaningful, CASE WHEN NOT rejected THEN requested - useful - CAST(completed AS INTEGER) END AS speculative,
     CASE WHEN completed THEN se ELSE 0 END AS speculative_empty, CASE WHEN completed THEN ig ELSE 0 END AS ignored_failures FROM b""",
 )

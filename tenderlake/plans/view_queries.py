@@ -72,8 +72,11 @@ ENDS = {"notice_to_lot": ("notice", "lot"), "plan_to_lot": ("plan_item", "lot"),
 
 @query(
     "f5_export_entity_relations",
-    """SELECT e.relation_type, p.source AS parent_source, 'notice' AS parent_type, e.parent_id, c.source AS child_source, 'lot' AS child_type, e.child_id
-    FROM v_edge e JOIN v_notice p ON p.source_entity_id = e.parent_id JOIN v_lot c ON c.source_entity_id = e.child_id WHERE e.relation_type = 'notice_to_lot'""",
+    """r AS (SELECT source, entity_type, source_entity_id FROM v_notice UNION ALL SELECT source, entity_type, source_entity_id FROM v_lot UNION ALL SELECT source, entity_type, source_entity_id FROM v_plan
+      UNION (SELECT CASE WHEN c_custkey % 2 = 0 THEN 'portal_a' ELSE 'portal_b' END, 'organization', CAST(c_custkey AS VARCHAR) FROM customer UNION SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'portal_a' ELSE 'portal_b' END, 'organization', CAST(s_suppkey AS VARCHAR) FROM supplier)),
+    ends AS (SELECT * FROM (VALUES ('notice_to_lot', 'notice', 'lot'), ('plan_to_lot', 'plan_item', 'lot'), ('plan_to_notice', 'plan_item', 'notice'), ('organizer', 'lot', 'organization'), ('customer', 'notice', 'organization')) AS x(relation_type, parent_type, child_type))
+    SELECT e.relation_type, p.source AS parent_source, parent_type, e.parent_id, c.source AS child_source, child_type, e.child_id
+    FROM v_edge e JOIN ends USING (relation_type) JOIN r p ON p.entity_type = parent_type AND p.source_entity_id = e.parent_id JOIN r c ON c.entity_type = child_type AND c.source_entity_id = e.child_id""",
 )
 def export_relations(t):
     organization = lambda key: (source_of(key).alias("source"), F.lit("organization").alias("entity_type"), F.col(key).cast("string").alias("source_entity_id"))

@@ -62,8 +62,12 @@ def csv_rows(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
 
 
 def has_bom(spark: SparkSession, path: str) -> Column:
-    head = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, 3) == F.lit(bytearray(b"\xef\xbb\xbf")))
-    return F.lit(bool((head.first() or [False])[0]))
+    """Whether a file begins with the mark; three bytes are read."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(spark._jsc.hadoopConfiguration()).open(file)
+    head = [stream.read() for _ in range(3)]
+    stream.close()
+    return F.lit(head == [0xEF, 0xBB, 0xBF])
 
 
 def catalogue_filter(rows: DataFrame, filters: dict[str, list[str]]) -> tuple[DataFrame, str]:

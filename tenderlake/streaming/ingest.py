@@ -1,6 +1,7 @@
 """Streams: incremental ingest, duplicate suppression, lane health, spending and failure windows."""
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,33 +13,62 @@ from tenderlake.sources.versions import Store
 
 KEY = ["source", "entity_type", "source_entity_id"]
 ENTITIES = "source string, entity_type string, source_entity_id string, payload string, content_hash string, last_success_at timestamp, updated_at timestamp"
-RELATIONS = "relation_type string, parent_id string, child_id string, first_seen_at timestamp, last_seen_at timestamp"
+RELATIONS = "relation_type string, parent_source string, parent_type string, parent_id string, child_source string, child_type string, child_id string, first_seen_at timestamp, last_seen_at timestamp"
 REVISIONS = "source string, entity_type string, source_entity_id string, content_hash string, payload string"
-EDGE = ["relation_type", "parent_id", "child_id"]
+PARENT = ["parent_source", "parent_type", "parent_id"]
+EDGE = ["relation_type", *PARENT, "child_source", "child_type", "child_id"]
+
+
+class ContractViolation(ValueError):
+    """A batch that must not be merged."""
+
+
+def check_batch(entities: DataFrame, edges: DataFrame) -> None:
+    """Reject a batch with incomplete keys, empty payloads, or edges that leave the sources of its entities."""
+    blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
+    keys = reduce(lambda a, b: a | b, [blank(F.col(k)) for k in KEY])
+    bad = entities.agg(F.count_if(keys).alias("incomplete key"), F.count_if(F.coalesce("payload", F.lit("{}")).isin("", "{}")).alias("empty payload")).first().asDict()
+    ends = reduce(lambda a, b: a | b, [blank(F.col(k)) for k in EDGE])
+    bad |= edges.agg(F.count_if(ends).alias("incomplete edge"), F.count_if(~F.col("parent_source").eqNullSafe(F.col("child_source"))).alias("edge between sources")).first().asDict()
+    foreign = edges.join(entities.select(F.col("source").alias("parent_source")).distinct(), "parent_source", "left_anti")
+    bad["edge of a foreign source"] = foreign.count()
+    if any(bad.values()):
+        raise ContractViolation(", ".join(f"{n} x {what}" for what, n in bad.items() if n))
 
 
 def merge_batch(store: Store, entities: DataFrame, edges: DataFrame, stream: str, batch_id: int) -> None:
     """One micro-batch into the versioned tables; a batch that was committed before is skipped.
 
     entities: KEY, payload, content_hash, fetched_at; edges: EDGE, at. Of equal keys the latest counts.
+    A batch that breaks the contract is rejected before anything is written.
     """
     if store.seen(stream, batch_id):
         return
+    entities, edges = entities.persist(), edges.persist()  # parsed once for the checks and all tables
+    try:
+        check_batch(entities, edges)
+        _merge(store, entities, edges, stream, batch_id)
+    finally:
+        entities.unpersist()
+        edges.unpersist()
+
+
+def _merge(store: Store, entities: DataFrame, edges: DataFrame, stream: str, batch_id: int) -> None:
     pinned = store.pointer()
     latest = merge.latest_per_key(entities, KEY, [F.desc("fetched_at"), F.desc("content_hash")])
     new = latest.select(*KEY, "payload", "content_hash", F.col("fetched_at").alias("last_success_at"), F.col("fetched_at").alias("updated_at"))
     old, known = store.read("entities", ENTITIES, pinned), store.read("relations", RELATIONS, pinned)
     fresh = edges.groupBy(*EDGE).agg(F.min("at").alias("first_seen_at"), F.max("at").alias("last_seen_at"))
-    parents = latest.select(F.col("source_entity_id").alias("parent_id"))
-    gone = merge.vanished_relations(known, fresh, parents, "parent_id", EDGE)
+    parents = latest.select(*[F.col(k).alias(p) for k, p in zip(KEY, PARENT)])
+    gone = merge.vanished_relations(known, fresh, parents, PARENT, EDGE)
     store.commit(
         {
             "entities": merge.upsert_by_hash(old, new, KEY).drop("change"),
             "relations": merge.upsert_relations(merge.delete_edges(known, gone, EDGE), fresh, EDGE),
-            "revisions": store.read("revisions", REVISIONS, pinned).unionByName(merge.revisions(old, new, KEY, ["payload"])),
         },
         stream,
         batch_id,
+        appended={"revisions": merge.revisions(old, new, KEY, ["payload"])},
     )
 
 
@@ -106,10 +136,19 @@ def lane_rows(lane: Lane, key: str, events: pd.DataFrame) -> pd.DataFrame:
 def lane_history(events: DataFrame, threshold: int = 3, cooldown: float = 600.0) -> DataFrame:
     """State after every event of each lane (batch); events arriving while a lane is open are refused."""
 
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
-        return lane_rows(Lane(threshold, cooldown), key[0], frame)
-
-    return events.groupBy("lane_id").applyInPandas(run, LANE_STATES)
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, lane = None, Lane(threshold, cooldown)
+        for frame in frames:
+            out = []
+            for e in frame.itertuples():
+                if e.lane_id != key:
+                    key, lane = e.lane_id, Lane(threshold, cooldown)
+                out.append((key, e.event_id, e.ts, lane.take(e.ts.timestamp(), bool(e.blocked)), lane.blocks))
+            yield pd.DataFrame(out, columns=["lane_id", "event_id", "ts", "state", "blocks"])
+
+    # lanes pass by in order, a batch of rows at a time; only the state of the current lane is kept
+    rows = events.select("lane_id", "ts", "event_id", "blocked").where("lane_id is not null")
+    return rows.repartition("lane_id").sortWithinPartitions("lane_id", "ts", "event_id").mapInPandas(run, LANE_STATES)
 
 
 class LaneProcessor(StatefulProcessor):

@@ -32,12 +32,12 @@ def test_export_round_trip(spark, tmp_path):
 
 
 BROKEN = {
-    "﻿source,source_entity_id\na,1\na,1\n": ["contains duplicate identity rows"],
-    "source,source_entity_id\na,1\n": ["missing UTF-8 BOM"],
-    "﻿source,source_entity_id\na, \n": ["contains rows with incomplete identity"],
-    "﻿source,source_entity_id\na,1,2\n": ["contains rows with a different number of columns"],
-    "﻿source,source_entity_id,t\na,1,�x\n": ["contains Unicode replacement characters"],
-    "﻿source;source_entity_id;t\na;1;=1+1\n": ["contains spreadsheet formula-like cells"],
+    "﻿source,source_entity_id\na,1\na,1\n": ["repeated_identity"],
+    "source,source_entity_id\na,1\n": ["no_bom"],
+    "﻿source,source_entity_id\na, \n": ["blank_identity"],
+    "﻿source,source_entity_id\na,1,2\n": ["ragged_rows"],
+    "﻿source,source_entity_id,t\na,1,�x\n": ["lost_characters"],
+    "﻿source;source_entity_id;t\na;1;=1+1\n": ["formula_cells"],
     '﻿source,source_entity_id,t\na,1,"x\ny"\n': [],
 }
 
@@ -83,7 +83,8 @@ def records(spark, rows):
 
 
 def edges(spark, rows):
-    return spark.createDataFrame(rows, "relation_type string, parent_id string, child_id string, at timestamp")
+    ends = [(r, "a", "notice", p, "a", "lot", c, t) if isinstance(p, str) else (r, *p, *c, t) for r, p, c, t in rows]
+    return spark.createDataFrame(ends, "relation_type string, parent_source string, parent_type string, parent_id string, child_source string, child_type string, child_id string, at timestamp")
 
 
 def at(day):
@@ -104,6 +105,62 @@ def test_merge_batches(spark, tmp_path):
     assert kept == {("1", "y", at(1), at(2)), ("9", "z", at(1), at(1))}
 
 
+def test_equal_ids_of_other_types_and_sources_keep_their_edges(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    lot, other = ("a", "lot", "5"), ("b", "lot", "5")
+    K.merge_batch(store, records(spark, [(*lot, "p", "h", at(1)), (*other, "p", "h", at(1))]), edges(spark, [("organizer", lot, ("a", "organization", "7"), at(1)), ("organizer", other, ("b", "organization", "7"), at(1))]), "s", 0)
+    K.merge_batch(store, records(spark, [("a", "organization", "5", "p", "h", at(2))]), edges(spark, []), "s", 1)
+    assert store.read("relations", K.RELATIONS).count() == 2
+    K.merge_batch(store, records(spark, [(*lot, "q", "i", at(3))]), edges(spark, []), "s", 2)
+    assert [r.parent_source for r in store.read("relations", K.RELATIONS).collect()] == ["b"]
+    assert store.vacuum(1) > 0 and store.read("entities", K.ENTITIES).count() == 3 and store.read("revisions", K.REVISIONS).count() == 1
+
+
+def test_a_batch_that_breaks_the_contract_is_rejected(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    good = records(spark, [("a", "lot", "1", "p", "h", at(1))])
+    K.merge_batch(store, good, edges(spark, []), "s", 0)
+    foreign = edges(spark, [("organizer", ("b", "lot", "1"), ("b", "organization", "2"), at(2))])
+    crossing = edges(spark, [("organizer", ("a", "lot", "1"), ("b", "organization", "2"), at(2))])
+    for rows, ends in [(records(spark, [("a", "lot", " ", "p", "h", at(2))]), edges(spark, [])), (records(spark, [("a", "lot", "2", "{}", "h", at(2))]), edges(spark, [])), (good, foreign), (good, crossing)]:
+        with pytest.raises(K.ContractViolation):
+            K.merge_batch(store, rows, ends, "s", 1)
+    assert store.pointer()["version"] == 1 and not store.seen("s", 1)
+
+
+def test_a_crash_before_the_pointer_is_published(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    K.merge_batch(store, records(spark, [("a", "lot", "1", "p", "h", at(1))]), edges(spark, []), "s", 0)
+    (tmp_path / ".next-left-behind").write_text("{")
+    again = Store(spark, str(tmp_path))
+    assert again.seen("s", 0) and again.read("entities", K.ENTITIES).count() == 1
+    stale = again.pointer()
+    K.merge_batch(store, records(spark, [("a", "lot", "2", "p", "h", at(2))]), edges(spark, []), "s", 1)
+    monkeypatch.setattr(again, "pointer", lambda: stale)
+    with pytest.raises(RuntimeError):
+        again.commit({}, "s", 1)
+    assert store.read("entities", K.ENTITIES).count() == 2
+
+
+def test_an_outcome_logged_twice_counts_once(spark):
+    work = spark.createDataFrame([("k", 1, 0, at(1), None)], "key string, priority int, attempt int, available_at timestamp, last_error string")
+    log = spark.createDataFrame([("k", 0, "retry", at(3), "e", at(2))] * 2, "key string, attempt int, outcome string, retry_at timestamp, error string, at timestamp")
+    left, history, failures = merge.apply_outcomes(work, log, ["key"])
+    assert (left.count(), history.count(), failures.count()) == (1, 0, 1)
+
+
+def test_landed_pages_and_logs(spark, tmp_path):
+    (tmp_path / "pages").mkdir()
+    (tmp_path / "pages" / "a.html").write_text("<p>one\ntwo</p>")
+    assert [r.body for r in landing.raw_pages(spark, str(tmp_path / "pages")).collect()] == ["<p>one\ntwo</p>"]
+    (tmp_path / "log.jsonl").write_text('{"provider":"x","status":"ok"}\nno json\n')
+    rows = landing.log_events(spark, str(tmp_path / "log.jsonl"), "provider string, status string").collect()
+    assert sorted((r.provider, r._broken) for r in rows if r.provider) == [("x", None)] and [r._broken for r in rows if not r.provider] == ["no json"]
+    for day in (1, 2):
+        landing.append_log(spark.createDataFrame([("x", at(day))], "status string, at timestamp"), str(tmp_path / "log"), "at")
+    assert sorted(str(r.day) for r in spark.read.parquet(str(tmp_path / "log")).collect()) == ["2026-01-01", "2026-01-02"]
+
+
 def test_ingest_stream_drains_and_resumes(spark, tmp_path):
     land, store = str(tmp_path / "land"), Store(spark, str(tmp_path / "store"))
     schema = "source string, entity_type string, source_entity_id string, payload string, content_hash string, fetched_at timestamp"
