@@ -11,18 +11,22 @@ subtracting its own vector (``plus``, ``minus``).
   +1/-1 projections, and the cosine of two fingerprints estimates the share of
   common phrases (``likeness``).
 
-Paragraphs end at line feeds. Phrases end where white space follows one of
-``n s . , ; : ! ? |``, so an insertion changes the phrases around it only.
+Paragraphs end at line feeds. Phrases end at line feeds and where white space follows
+one of ``n s t`` or any ASCII punctuation, so an insertion changes the phrases around
+it only.
 
 Semantics: null text counts as empty (one empty paragraph); rows are
 fingerprinted one by one, so repeated rows, ties and extra columns don't matter.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 LANES, BITS, SKETCH = 8, 60, 32
+MOST_BOUNDS = 1 << 16
 PHRASE_END = r"\n|(?<=[nst\p{Punct}])\s+"
 _PAIR = (1 << 32) | 1
 _LOW = (1 << 32) - 1
@@ -87,25 +91,32 @@ def printed(f: Column) -> Column:
     return F.concat_ws(":", exact, sketch, F.hex(f["n"]))
 
 
-def with_next(docs: DataFrame, id_col: str, text_col: str, block_rows: int = 2000, most_blocks: int = 4096) -> DataFrame:
+def with_next(docs: DataFrame, id_col: str, text_col: str, block_rows: int = 2000) -> DataFrame:
     """doc_id, text, print, and next_text, next_print: those of the next document by (id with null first, text); after the last comes the first.
 
     Documents are dealt into blocks of neighbouring ids. The blocks' bounds are
-    approximate quantiles (at most ``most_blocks`` numbers on the driver) that are
-    ids of the table, so the documents at a bound are known without a look at
-    other rows: they are also sent to the block before, as its end.
+    approximate quantiles that are ids of the table, so the documents at a bound are
+    known without a look at other rows: they are also sent to the block before, as
+    its end. A row's block is found in two steps, among bounds of ranges of bounds
+    first. Bounds go through the driver as numbers, so there are ``MOST_BOUNDS`` of
+    them; a larger table has larger blocks, which are sorted with spilling, not held.
     """
     key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63)))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), key.alias("key"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     columns = ("text", "print")
-    n = max(1, min(most_blocks, -(-docs.count() // block_rows)))
+    n = max(1, min(MOST_BOUNDS, -(-docs.count() // block_rows)))
     bounds, least = rows.agg(F.percentile_approx("key", [i / n for i in range(n)], 20 * n), F.min("key")).first()
     least = least or 0
     bounds = sorted({least, *(bounds or [])})
-    edges = F.array(*[F.lit(b).cast("long") for b in bounds])
-    own = F.size(F.filter(edges, lambda b: b <= F.col("key")))
-    before = F.when(F.col("key") == F.lit(least), F.lit(len(bounds))).when(F.array_contains(edges, F.col("key")), own - 1)
-    dealt = rows.withColumn("own", own).withColumn("place", F.explode(F.array_compact(F.array(F.struct(F.col("own").alias("block"), F.lit(False).alias("tail")), F.when(before.isNotNull(), F.struct(before.alias("block"), F.lit(True).alias("tail")))))))
+    width = math.isqrt(len(bounds)) + 1
+    listed = lambda numbers: F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<long>")
+    upto = lambda numbers: F.size(F.filter(numbers, lambda b: b <= F.col("key")))
+    edges = listed(bounds)
+    rows = rows.withColumn("range", (upto(listed(bounds[::width])) - 1) * width)
+    rows = rows.withColumn("own", F.col("range") + upto(F.slice(edges, F.col("range") + 1, width)))
+    own = F.col("own")
+    before = F.when(F.col("key") == F.lit(least), F.lit(len(bounds))).when(F.element_at(edges, own) == F.col("key"), own - 1)
+    dealt = rows.withColumn("place", F.explode(F.array_compact(F.array(F.struct(F.col("own").alias("block"), F.lit(False).alias("tail")), F.when(before.isNotNull(), F.struct(before.alias("block"), F.lit(True).alias("tail")))))))
     dealt = dealt.select("doc_id", "key", "text", F.col("place.block").alias("block"), F.col("place.tail").alias("tail")).repartition("block")
     # fingerprinted after the shuffle, which carries texts alone
     dealt = dealt.withColumn("print", fingerprint(F.col("text")))

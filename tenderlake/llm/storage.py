@@ -1,8 +1,8 @@
 """Shared storage for intermediate results.
 
 Lineage is cut with Parquet tables in the folder that the session names in
-``spark.checkpoint.dir``; only where that is unset (as in tests) is a folder of
-this process used instead.
+``spark.checkpoint.dir``. Only where that is unset and all of Spark is this process
+(as in tests) is a folder of this machine used instead; on a cluster that is an error.
 """
 
 import tempfile
@@ -19,6 +19,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _own:
         _own.append("file://" + tempfile.mkdtemp(prefix="tenderlake-"))
     return _own[0]
@@ -44,8 +46,22 @@ def write(df: DataFrame, path: str) -> DataFrame:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """A table that stays as long as the shared folder."""
-    return write(df, f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
+    """A table that stays until ``discard``, or as long as the shared folder."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    out = write(df, path)
+    out.stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``materialize`` made; nothing may read it any more."""
+    if "stored_at" in vars(df):
+        _delete(df.sparkSession, df.stored_at)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 class Scratch:
@@ -67,5 +83,4 @@ class Scratch:
         return path
 
     def __exit__(self, *_):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(self.spark, self.folder)
