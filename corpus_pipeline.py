@@ -11,7 +11,7 @@ beyond those of ``documents``, which it does not pass on.
 from pyspark.sql import functions as F
 
 from tenderlake.llm import jaccard_join, line_dedup, packing, quality, substring_dedup
-from tenderlake.llm.storage import materialize
+from tenderlake.llm.storage import discard, materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -82,5 +82,6 @@ STAGES = [
 def run(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), name)
+        discard(before)  # the stage that read it is written
     return docs
