@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tenderlake.functions import scalars as S
 from tenderlake.operators import html_pages as B
 from tenderlake.operators import json_docs as C
+from tenderlake.operators import quality as Q
 from tenderlake.plans.tables import Tables
 from tenderlake.sources import landing
 from tenderlake.streaming import ingest as K
@@ -50,7 +51,13 @@ def export_notices(t):
     return out.select("source", "source_entity_id", "status", "total_amount", "title_ru")
 
 
-@query("b1_visible_text")
+@query(
+    "b1_visible_text",
+    """WITH bare AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->|<head[ >].*?</head>|<script.*?</script>|<style.*?</style>', ' ', 'g'), '<[^>]*>', ' ', 'g') AS x FROM pages),
+    said AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(x, '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', ' '), '&amp;', '&') AS x FROM bare),
+    whole AS (SELECT page_id, nullif(trim(regexp_replace(replace(x, chr(160), ' '), '\\s+', ' ', 'g')), '') AS text FROM said)
+    SELECT page_id, CAST(length(text) AS INTEGER) AS n_chars, sha256(text) AS text_sha256 FROM whole""",
+)
 def visible_text(t):
     return B.parse_pages(t.pages).select("page_id", F.length("text").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
 
@@ -363,6 +370,15 @@ def page_entities(t):
     return out.select("page_id", "entity_type", "source_entity_id", "status", "title_ru", "customer_id", F.col("unit_price").cast("string").alias("unit_price"), F.col("total_amount").cast("string").alias("total_amount"), "currency")
 
 
+@query("i2_csv_report", """SELECT count(*) AS rows, count(*) FILTER (WHERE o_orderkey % 11 = 0) AS malformed_rows, CAST(sum(CASE WHEN o_orderkey % 7 = 0 THEN 2 ELSE 0 END) AS BIGINT) AS replacement_characters, count(*) FILTER (WHERE o_orderkey % 5 = 0) AS formula_like_cells,
+    (SELECT count(*) FROM orders WHERE o_custkey % 13 <> 0) - (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_custkey % 13 <> 0) AS duplicate_identity_rows, count(*) FILTER (WHERE o_custkey % 13 = 0) AS empty_identity_rows FROM orders""")
+def csv_report(t):
+    key = F.col("o_orderkey")
+    title = F.concat(F.when(key % 5 == 0, "=1+").otherwise("a"), "o_orderstatus", F.when(key % 7 == 0, "��").otherwise(""))
+    cells = t.orders.select(F.lit("portal_a").alias("source"), F.when(F.col("o_custkey") % 13 != 0, F.concat(F.lit(" "), "o_custkey")).otherwise("  ").alias("source_entity_id"), title.alias("title"), (key % 11 == 0).alias("broken"))
+    return Q.csv_report(cells, ["source", "source_entity_id", "title"], ["source", "source_entity_id"], F.col("broken"))
+
+
 @query("c6_item_lists", "SELECT CAST(l_orderkey AS VARCHAR) AS notice, count(*) + 1 AS n_items FROM lineitem GROUP BY 1")
 def item_lists(t):
     return lists(t).select("notice", C.items(F.col("body")).alias("items")).select("notice", F.size("items").cast("long").alias("n_items"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tenderlake.operators import merge
+from tenderlake.operators import merge, worklist
 from tenderlake.sources.versions import Store
 
 KEY = ["source", "entity_type", "source_entity_id"]
@@ -85,6 +85,31 @@ def ingest(records: DataFrame, parse, store: Store, checkpoint: str, stream: str
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
+WORKLIST = "source string, entity_type string, source_entity_id string, priority int, available_at timestamp, attempt int, payload string"
+
+
+def refresh(store: Store, policies: dict[str, dict], now: str, stream: str, batch_id: int) -> None:
+    """Enqueue the entities that the policies call due; a batch that was committed before is skipped.
+
+    policies: name (as in ``refresh_candidates``) to older_seconds, newer_seconds, limit and
+    priority. The status is that of the payload. An entity due twice gets the higher priority.
+    """
+    if store.seen(stream, batch_id):
+        return
+    pinned = store.pointer()
+    entities = store.read("entities", ENTITIES, pinned).withColumn("key", F.concat_ws(":", *KEY))
+    status = entities.select("key", F.get_json_object("payload", "$.status").alias("status"))
+    due = [worklist.refresh_candidates(entities, [status], name, now, p["older_seconds"], p["newer_seconds"], p["limit"], "key").select(*KEY, F.lit(p["priority"]).alias("priority")) for name, p in policies.items()]
+    items = reduce(DataFrame.unionByName, due).select("*", F.lit(now).cast("timestamp").alias("available_at"), F.lit("{}").alias("payload"), F.lit(True).alias("refresh_existing"))
+    store.commit({"worklist": merge.enqueue(store.read("worklist", WORKLIST, pinned), items, entities, KEY)}, stream, batch_id)
+
+
+def periodic(ticks: DataFrame, job, checkpoint: str, every: str | None = None):
+    """Run ``job(batch_id)`` for each micro-batch of a stream of ticks (the ``rate`` source, say)."""
+    writer = ticks.writeStream.foreachBatch(lambda _, batch_id: job(batch_id)).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
 def first_arrivals(rows: DataFrame, at: str, keys: list[str], late: str = "10 minutes") -> DataFrame:
     """Rows whose keys (identity and hash) did not arrive within the watermark's reach."""
     return rows.withWatermark(at, late).dropDuplicatesWithinWatermark(keys)

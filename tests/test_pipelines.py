@@ -149,6 +149,42 @@ def test_an_outcome_logged_twice_counts_once(spark):
     assert (left.count(), history.count(), failures.count()) == (1, 0, 1)
 
 
+def test_periodic_refresh(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    rows = [("a", "lot", "1", '{"status":"open"}', "h", at(1)), ("a", "lot", "2", '{"status":"closed"}', "h", at(1)), ("a", "lot", "3", '{"x":1}', "h", at(9))]
+    K.merge_batch(store, records(spark, rows), edges(spark, []), "ingest", 0)
+    day = 86400
+    policies = {"active": {"older_seconds": 2 * day, "newer_seconds": 0, "limit": 10, "priority": 5}, "recently_closed": {"older_seconds": 3 * day, "newer_seconds": 30 * day, "limit": 10, "priority": 1}}
+    ticks = str(tmp_path / "ticks")
+    for n in range(2):  # a tick a run; the second finds nothing more to enqueue
+        spark.createDataFrame([(n,)], "n int").write.mode("append").parquet(ticks)
+        K.periodic(spark.readStream.schema("n int").parquet(ticks), lambda batch: K.refresh(store, policies, "2026-01-10 00:00:00", "refresh", batch), str(tmp_path / "check")).awaitTermination()
+    got = sorted((r.source_entity_id, r.priority, r.attempt) for r in store.read("worklist", K.WORKLIST).collect())
+    assert got == [("1", 5, 0), ("2", 1, 0)] and store.seen("refresh", 1) and store.read("entities", K.ENTITIES).count() == 3
+
+
+def test_export_of_one_snapshot(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"))
+    K.merge_batch(store, records(spark, [("a", "lot", "1", "p", "h", at(1))]), edges(spark, []), "s", 0)
+    only = lambda rows: rows.where("entity_type = 'lot'").select("source", "source_entity_id")
+    read = store.read
+
+    def late(name, schema, pointer=None):  # a batch arrives while the export begins
+        if not store.seen("s", 1):
+            monkeypatch.setattr(store, "read", read)
+            K.merge_batch(store, records(spark, [("a", "lot", "2", "p", "h", at(1))]), edges(spark, []), "s", 1)
+        return read(name, schema, pointer)
+
+    monkeypatch.setattr(store, "read", late)
+    out = X.export_snapshot(store, {"lots": ("entities", K.ENTITIES, only)}, str(tmp_path / "out"))
+    assert [(m["rows"], m["version"]) for m in out] == [(1, 1)] and read("entities", K.ENTITIES).count() == 2
+    for rows in (1, 2):  # a file is replaced, never missing
+        X.publish(X.projected(only(read("entities", K.ENTITIES)).limit(rows), "lots"), str(tmp_path / "out"), "lots")
+    assert len((tmp_path / "out" / "lots.csv").read_text("utf-8-sig").splitlines()) == 3
+    parts = X.export({"lots": read("entities", K.ENTITIES).repartition(2)}, str(tmp_path / "parts"), parts=True)
+    assert parts[0]["rows"] == 2 and len(list((tmp_path / "parts" / parts[0]["file"]).glob("part-*"))) == 2
+
+
 def test_landed_pages_and_logs(spark, tmp_path):
     (tmp_path / "pages").mkdir()
     (tmp_path / "pages" / "a.html").write_text("<p>one\ntwo</p>")
