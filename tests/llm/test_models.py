@@ -86,6 +86,12 @@ def brute_search(docs, queries, k):
     return out
 
 
+def test_scores_are_not_rounded(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
+    (row,) = search.top_k(docs, spark.createDataFrame([(7, "a")], "item_id long, text string")).collect()
+    assert row.score == pytest.approx(math.log(2) * 2.2 / (1 + 1.2 * (0.25 + 0.75 * 2 / 1.5)), rel=1e-13)
+
+
 @pytest.mark.parametrize("k", [3, 50])
 def test_search(spark, k):
     r = random.Random(2)
