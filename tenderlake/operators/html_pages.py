@@ -1,20 +1,23 @@
 """HTML pages to rows: one parse job over raw pages, then column and join work.
 
 The job (``parse_pages``) turns each page into its title, detail fields, tables,
-links and visible text with the standard library's parser inside ``mapInPandas``;
+links and visible text with the standard library's parser inside ``mapInArrow``;
 everything after it is DataFrame code. Tag closing follows what browsers do for
 rows and cells: a new row or cell ends the open one, and rows may stand directly
 under a table.
 """
 
-import json
 from html.parser import HTMLParser
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tenderlake.functions import scalars
 
+AT_ONCE = 256  #: pages whose results are in memory together
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 # Path words of the portal's entity pages.
@@ -57,7 +60,7 @@ class _Page(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open, self.hidden, self.heading_now = [], 0, None
+        self.open, self.hidden, self.headers, self.heading_now = [], 0, 0, None
         self.sinks: list[list[str]] = []  # open text collectors
         self.text, self.links, self.tables, self.out = [], [], [], {"title": None, "heading": None, "stats": None}
         self.fields, self.field_links = {}, {}
@@ -66,6 +69,9 @@ class _Page(HTMLParser):
         self.sinks.append([])
         return self.sinks[-1]
 
+    def updatepos(self, i, j):  # nobody asks for line numbers
+        return j
+
     @staticmethod
     def clean(parts):
         return " ".join(" ".join(parts).replace("\xa0", " ").split()) or None
@@ -92,11 +98,11 @@ class _Page(HTMLParser):
         elif tag in ("td", "th", "h1", "h2", "h3", "h4", "title", "a") or "stats" in a.get("class", "").split():
             node = {"sink": self.sink(), "links": []}
         if tag not in VOID:
+            self.headers += tag in ("title", "head")
             self.open.append((tag, node, a))
 
     def handle_endtag(self, tag):
-        if any(x[0] == tag for x in self.open):
-            self.close_to({tag}, set())
+        self.close_to((tag,), ())
 
     def close_to(self, tags, barrier):
         """Close the innermost open element of the tags, and what is inside it, unless a barrier comes first."""
@@ -118,6 +124,7 @@ class _Page(HTMLParser):
         if tag in ("script", "style"):
             self.hidden -= 1
             return
+        self.headers -= tag in ("title", "head")
         if node and "sink" in node:
             value = self.clean(node["sink"])
             self.sinks = [s for s in self.sinks if s is not node["sink"]]
@@ -155,7 +162,7 @@ class _Page(HTMLParser):
 
     def handle_data(self, data):
         if not self.hidden:
-            if not any(x[0] in ("title", "head") for x in self.open):
+            if not self.headers:
                 self.text.append(data)
             for s in self.sinks:
                 s.append(data)
@@ -164,7 +171,7 @@ class _Page(HTMLParser):
         while self.open:
             self.finish(*self.open.pop())
         tables = [{k: t[k] for k in ("heading", "headers", "in_grid", "rows")} for t in self.tables if not t["detail"] and (t["rows"] or t["headers"])]
-        return self.out | {"text": self.clean(self.text), "fields": self.fields, "field_links": self.field_links, "tables": tables, "links": self.links}
+        return self.out | {"text": self.clean(self.text), "fields": list(self.fields.items()), "field_links": list(self.field_links.items()), "tables": tables, "links": self.links}
 
 
 def parse_html(html: str | None) -> dict:
@@ -177,15 +184,16 @@ def parse_html(html: str | None) -> dict:
 def parse_pages(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """One row per page; a null page gives empty results."""
 
-    def run(frames):
-        for frame in frames:
-            frame["parsed"] = [json.dumps(parse_html(h)) for h in frame["html"]]
-            yield frame[["page_id", "parsed"]]
+    schema = StructType.fromDDL(SCHEMA)
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, len(batch), AT_ONCE):
+                part = batch.slice(at, AT_ONCE)
+                yield pa.RecordBatch.from_pylist([{"page_id": i} | parse_html(h) for i, h in zip(part.column("page_id").to_pylist(), part.column("html").to_pylist())], arrow)
 
-    rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(html).alias("html"))
-    fields = SCHEMA.split(", ", 1)[1]
-    parsed = rows.mapInPandas(run, "page_id long, parsed string").withColumn("p", F.from_json("parsed", fields))
-    return parsed.select("page_id", "p.*")
+    return pages.select(F.col(key).cast("long").alias("page_id"), F.col(html).alias("html")).mapInArrow(run, schema)
 
 
 def visible_text(html: Column) -> Column:

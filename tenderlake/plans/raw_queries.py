@@ -298,7 +298,7 @@ PORTAL = "https://portal.example"
 def list_pages(t):
     """A list page per order, as the portal writes it: a grid of its lots."""
     row = F.concat(F.lit('<tr><td><a href="/ru/publics/lot/'), "l_orderkey", F.lit("-"), "l_linenumber", F.lit('?tab=1">L-'), "l_linenumber", F.lit("</a></td><td>"), F.col("l_quantity").cast("int"), F.lit("</td></tr>"))
-    rows = t.lineitem.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(row)), "").alias("rows"))
+    rows = t.dealt(t.lineitem, "l_orderkey").groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(row)), "").alias("rows"))
     html = F.concat(F.lit('<div class="grid-view"><table><thead><tr><th>№ лота</th><th>Количество</th></tr></thead><tbody>'), "rows", F.lit("</tbody></table></div>"))
     return B.parse_pages(rows.select(F.col("l_orderkey").alias("page_id"), html.alias("html")))
 
@@ -335,7 +335,7 @@ def detail_pages(t):
         F.lit(f'<h3>{B.DOCUMENTS}</h3><div class="grid-view"><table><thead><tr><th>{B.FILE}</th><th>{B.SIZE}</th><th></th></tr></thead><tbody><tr data-key="d'), key, F.lit('"><td>План '), key, F.lit(".PDF</td><td>"), key % 7 + 1, F.lit(f' КБ</td><td><a title="{B.DOWNLOAD}" href="/f/'), key, F.lit('">x</a></td></tr></tbody></table></div>'),
         F.lit('<a href="/ru/publics/lot/'), key, F.lit('-1">lot</a><a href="/ru/publics/buy/'), key, F.lit('">self</a><a href="/ru/publics/point/'), key % 97, F.lit('">plan</a></body></html>'),
     )
-    return B.parse_pages(t.orders.select(key.alias("page_id"), html.alias("html")))
+    return B.parse_pages(t.spread(t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_custkey"), "o_orderkey").select(key.alias("page_id"), html.alias("html")))
 
 
 def page_identities(t):

@@ -26,6 +26,14 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def dealt(self, rows: DataFrame, key: str) -> DataFrame:
+        """Rows of a key in one of the session's shuffle partitions, which small rows before costly work do not fill by their bytes."""
+        return rows.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), key)
+
+    def spread(self, rows: DataFrame, key: str) -> DataFrame:
+        """A scan of fewer splits than cores over all of them; a larger one as it is, without a shuffle."""
+        return rows if rows.rdd.getNumPartitions() >= self.spark.sparkContext.defaultParallelism else self.dealt(rows, key)
+
     def notice(self) -> DataFrame:
         return self.orders.select(
             source_of("o_orderkey").alias("source"),
