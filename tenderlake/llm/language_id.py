@@ -24,6 +24,7 @@ from tenderlake.llm.token_counts import portions
 from tenderlake.llm.words import mix
 
 DIMENSIONS = 1 << 14
+STRETCH = 1 << 18  #: characters of a long text that are counted at once
 UNKNOWN = "und"
 
 
@@ -41,23 +42,50 @@ def letters() -> np.ndarray:
     return _letters[0]
 
 
+def codes_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Code points, and which of them are letters."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    return c, letters()[c]
+
+
+def grams_of(c: np.ndarray) -> list[np.ndarray]:
+    """Features of the 1-, 2- and 3-grams that begin at each place."""
+    one, two, three = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+    grams = [mix(c * one + np.uint64(1)), mix(c[:-1] * one + c[1:] * two), mix(c[:-2] * one + c[1:-1] * two + c[2:] * three)]
+    return [(g % np.uint64(DIMENSIONS)).astype(np.int64) for g in grams]
+
+
+def long_counts(text: str) -> tuple[np.ndarray, bool]:
+    """Count of each feature and whether there is a letter, a stretch of the text at a time."""
+    text = "  " + text.lower() + " "
+    total, some, before = np.zeros(DIMENSIONS, np.int64), False, np.zeros(0, np.uint64)
+    for at in range(0, len(text), STRETCH):
+        c, is_letter = codes_of(text[at : at + STRETCH])
+        some |= bool(is_letter.any())
+        c = np.concatenate([before, np.where(is_letter, c, 32).astype(np.uint64)])
+        c = c[np.concatenate([[True], (c[1:] != 32) | (c[:-1] != 32)])]
+        for n, g in enumerate(grams_of(c)):
+            total += np.bincount(g[max(len(before) - n, 0) :], minlength=DIMENSIONS)  # those before end in the last stretch
+        before = c[-2:]
+    return total, some
+
+
 def ngram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For each non-zero: text, feature and count; and for each text whether it has a letter."""
-    codes = [np.frombuffer(("  " + t.lower() + " ").encode("utf-32-le", "surrogatepass"), "<u4") for t in texts]
-    size = np.array([len(c) for c in codes])
-    doc = np.repeat(np.arange(len(texts)), size)
-    c = np.concatenate(codes)
-    is_letter = letters()[c]
+    long = {i: long_counts(t) for i, t in enumerate(texts) if len(t) > STRETCH}
+    codes = [codes_of("  " + ("" if i in long else t.lower()) + " ") for i, t in enumerate(texts)]
+    doc = np.repeat(np.arange(len(texts)), [len(c) for c, _ in codes])
+    c, is_letter = (np.concatenate(x) for x in zip(*codes))
     some = np.bincount(doc[is_letter], minlength=len(texts)) > 0
     c = np.where(is_letter, c, 32).astype(np.uint64)
     # one space for a run of them
     keep = np.concatenate([[True], (c[1:] != 32) | (c[:-1] != 32) | (doc[1:] != doc[:-1])])
     c, doc = c[keep], doc[keep]
-    one, two, three = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-    grams = [mix(c * one + np.uint64(1)), mix(c[:-1] * one + c[1:] * two), mix(c[:-2] * one + c[1:-1] * two + c[2:] * three)]
     whole = [np.ones(len(c), bool), doc[1:] == doc[:-1], doc[2:] == doc[:-2]]
-    key = np.concatenate([(doc[: len(g)] * DIMENSIONS + (g % np.uint64(DIMENSIONS)).astype(np.int64))[w] for g, w in zip(grams, whole)])
+    key = np.concatenate([(doc[: len(g)] * DIMENSIONS + g)[w] for g, w in zip(grams_of(c), whole)])
     counts = np.bincount(key, minlength=len(texts) * DIMENSIONS)
+    for i, (own, letter) in long.items():
+        counts[i * DIMENSIONS : (i + 1) * DIMENSIONS], some[i] = own, letter
     at = np.flatnonzero(counts)
     return at // DIMENSIONS, at % DIMENSIONS, counts[at], some
 

@@ -36,6 +36,15 @@ def test_odd_texts_have_no_language(spark):
     assert language_id.identify(docs.limit(0), known.limit(0)).count() == 0
 
 
+def test_long_texts_are_counted_in_stretches(monkeypatch):
+    r = random.Random(5)
+    texts = ["".join(r.choice("abΣİ ё\n1 ") for _ in range(n)) for n in (0, 1, 6, 7, 8, 50, 500)] + ["    " * 9, "a" * 30, "1" * 30]
+    whole = language_id.ngram_counts(texts)
+    for stretch in (1, 2, 3, 7):
+        monkeypatch.setattr(language_id, "STRETCH", stretch)
+        assert all((a == b).all() for a, b in zip(language_id.ngram_counts(texts), whole))
+
+
 def test_temperature_fits_calibration():
     r = np.random.default_rng(1)
     logits = r.normal(size=(4000, 3))
@@ -81,8 +90,8 @@ def brute_search(docs, queries, k):
         for d, b in bags:
             s = sum(math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * b.count(w) * 2.2 / (b.count(w) + 1.2 * (0.25 + 0.75 * len(b) / mean)) for w in words if w in b)
             if s > 0:
-                scores.append((-round(s, 9), d))
-        out += [(q, i + 1, d, round(-s, 6)) for i, (s, d) in enumerate(sorted(scores)[:k])]
+                scores.append((-round(s, 9), d, s))
+        out += [(q, i + 1, d, round(s, 6)) for i, (_, d, s) in enumerate(sorted(scores)[:k])]
     return out
 
 
