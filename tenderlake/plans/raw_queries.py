@@ -153,7 +153,7 @@ def published_at(t):
 def lists(t):
     """A list document per order: its lines under nested keys, for even orders four keys deep and with totals of two names."""
     item = F.to_json(F.struct(F.col("l_linenumber").alias("id"), F.col("l_partkey").cast("string").alias("lotNumber")))
-    rows = t.lineitem.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(item)), ",").alias("j"), F.count("*").alias("n"))
+    rows = t.dealt(t.lineitem, "l_orderkey").groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(item)), ",").alias("j"), F.count("*").alias("n"))
     flat = F.concat(F.lit('{"data":{"content":['), "j", F.lit(',{"x":1}],"totalElements":"'), "n", F.lit('"}}'))
     deep = F.concat(F.lit('{"total":"many","data":{"results":{"result":{"items":{"content":['), "j", F.lit(',{"x":1}]},"total":-1,"totalCount":'), "n", F.lit("}}}}"))
     return rows.select(F.col("l_orderkey").cast("string").alias("notice"), F.when(F.col("l_orderkey") % 2 == 0, deep).otherwise(flat).alias("body"))
