@@ -53,6 +53,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Lineage cut in the shared folder; Spark's cleaner removes the files once no frame reads them."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(checkpoint_dir(df.sparkSession))
+    return df.checkpoint()
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table that ``materialize`` made; nothing may read it any more."""
     if "stored_at" in vars(df):
