@@ -46,7 +46,7 @@ BREAKS = np.zeros(256, bool)
 BREAKS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 SEPARATORS = BREAKS.copy()
 SEPARATORS[[0x20, 0x09]] = True
-CHUNK = 2 << 20  #: words counted together in a task
+CHUNK = 1 << 20  #: words counted together in a task
 LANG_SEED = 0x1A46
 
 _U = np.uint64
@@ -70,7 +70,7 @@ class Suffixes:
         after = np.ones(n, np.uint8)  # words of the piece from here on, as far as the depth
         for _ in range(self.depth - 1):
             after[:-1] = np.where(joined, np.minimum(after[1:] + 1, self.depth), 1)
-        self.parts.append((w, w.hashes(), langs[w.doc].astype(np.int64), after))
+        self.parts.append((w, w.hashes(), langs[w.doc].astype(np.int32), after))
         self.size += n
 
     def close(self, langs: list[bytes]) -> "Suffixes":
@@ -86,9 +86,10 @@ class Suffixes:
             for i in range(8, len(x), 8):
                 salt[k] = W.mix(salt[k : k + 1] ^ np.frombuffer(x[i : i + 8].ljust(8, b"\0"), np.uint64))[0]
         self.hashes, self.root = hashes, salt
+        self.texts, self.parts = self._texts(), []
         return self
 
-    def texts(self) -> pa.Array:
+    def _texts(self) -> pa.Array:
         """Texts of languages and then words, by number."""
         parts, size, order = [], [], []
         for (w, _, _, _), begin, end in zip(self.parts, self.begins[:-1], self.begins[1:]):
@@ -129,7 +130,7 @@ def chunks(batches, depth: int):
         table = pa.Table.from_batches([batch])
         of = np.array([langs.setdefault(x.encode(), len(langs)) for x in table["lang"].to_pylist()], np.int64)
         data, offsets = W.utf8(table["text"])
-        for i, j in W.slices(offsets):
+        for i, j in W.slices(offsets, 2 << 20):
             open_.add(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], of[i:j])
             if open_.size >= CHUNK:
                 yield open_.close([*langs])
@@ -172,7 +173,7 @@ def gathering(owner: np.ndarray, groups: int, columns: list[np.ndarray], words:
     rest = 64 - groups_bits - 2 * bits
     if rest < 8:
         return owner.astype(_U) << _U(64 - groups_bits) | whole >> _U(groups_bits)
-    first = (owner << 2 * bits | columns[1].astype(np.int64) << bits | columns[min(2, len(columns) - 1)]).astype(_U)
+    first = (owner.astype(np.int64) << 2 * bits | columns[1].astype(np.int64) << bits | columns[min(2, len(columns) - 1)]).astype(_U)
     return first << _U(rest) | whole >> _U(64 - rest)
 
 
@@ -212,7 +213,7 @@ def pack(chunk: Suffixes, heavy: list[np.ndarray], groups: int, number: int):
     n = np.diff(np.append(at, len(order)))
     columns, owner, level = [c[at] for c in columns], owner[at], level[at]
     starts, sizes = G.runs(owner)
-    place, texts = np.zeros(len(chunk.dictionary) + 1, np.int32), chunk.texts()
+    place, texts = np.zeros(len(chunk.dictionary) + 1, np.int32), chunk.texts
     for s, size in zip(starts.tolist(), sizes.tolist()):
         own = [c[s : s + size] for c in columns]
         used = np.zeros(len(place), bool)
