@@ -1,241 +1,201 @@
 """Byte-level BPE as a streaming transducer with bounded lookahead, and its decoder.
 
-Whether two tokens can stand side by side in an encoding follows from the merge
-list alone (``follows``): no merge across their border may come before the merges
-that close them on either side. An encoding is exactly a sequence in which every
-neighbouring pair may stand side by side, so for every prefix of the bytes there
-is one last token, found from the last tokens of shorter prefixes. A token is
-emitted once it is stable: once the encodings of all prefixes that a later token
-can extend share it. Only prefixes within ``lookahead`` bytes (the longest token
-of the merge list) can be extended, so the state kept is that window. Nothing of
-a pretoken within one window is stable before its end: there the sequence is
-found forward, longest tokens first; a prefix that turns out a dead end is dead
-for good, as only one sequence leads to it.
-
-Texts are split into pretokens by the tokenizer's pattern; each distinct pretoken
-passes the transducer once per worker while a bounded memory holds it.
-
-Decoding turns ids into bytes one by one and bytes into text with an incremental
-UTF-8 state machine; broken sequences become U+FFFD.
+Which tokens can stand side by side follows from the merge list alone, and an
+encoding is exactly a sequence of tokens in which all neighbours can (``merges``).
+So every prefix of a pretoken has one last token, found from the last tokens of the
+prefixes before it: the transducer (``Stream``) takes a byte, steps through an automaton of
+all tokens, and notes which of the tokens that end there can stand after the last token of
+the prefix before it. A token that ends ``lookahead`` bytes before the last
+byte read is final, by the bound that the merge list gives, and is emitted; the state is the window
+of prefixes since then. All bytes of all texts take this path, whatever their length.
+
+Texts are split into pretokens by the tokenizer's pattern. A memory bounded in bytes keeps
+what the transducer emitted for short runs of text; longer ones pass it again each time.
+
+Ids leave in portions and are hashed at once; their bytes go through an incremental
+UTF-8 state machine and the text that comes out is hashed as well, so neither the
+ids nor the decoded text of a document is ever held. Broken sequences become U+FFFD.
 
 Semantics: null counts as empty (no ids, empty text). Rows are independent, so
-repeated rows, ties and extra columns don't matter.
+repeated rows, ties and extra columns don't matter, and an empty table gives an empty
+result. A very long text costs the memory of the row itself and of the runs of a million
+characters, or of its longest stretch without a single space.
 """
 
 import codecs
 import gc
 import hashlib
-import json
+from collections.abc import Iterator
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tenderlake.llm.merges import MergeList, byte_symbols  # noqa: F401  (others import byte_symbols from here)
+from tenderlake.llm.runs import Runs, blocks, pretokens
 from tenderlake.llm.token_counts import portions
 
-PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-UNEVEN = regex.compile(r"[^\S \n]|[ \n][ \n]|^[ \n]|[ \n]\Z|\x00")
+class Stream:
+    """The transducer at work on one pretoken: ``feed`` bytes, take tokens as they become final, ``end`` for the rest."""
 
-
-def byte_symbols() -> dict[str, int]:
-    """Printable symbol of every byte in byte-level vocabularies: Latin-1's visible ones stand for themselves."""
-    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in visible]
-    return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
-class Transducer:
+    def __init__(self, own: "Transducer"):
+        self.own = own
+        self.start: list[int] = []  #: for every prefix of the window: where its last token begins,
+        self.token: list[int] = []  #: and which it is
+        self.before = -1  #: the token emitted last
+        self.node = 0  #: of the automaton of tokens
+
+    def feed(self, data: bytes) -> list[int]:
+        """Take bytes; returns the tokens that have become final."""
+        own, start, token, out, before = self.own, self.start, self.token, [], self.before
+        step, fail, ending, shorter, size = own.step.get, own.fail, own.ending, own.shorter, own.size
+        pairs, wide, most, node, end = own.pairs.get, own.wide, 2 * (own.lookahead + own.longest), self.node, len(self.token)
+        for byte in data:
+            end += 1
+            at = step(node << 8 | byte)
+            while at is None:
+                node = fail[node]
+                at = step(node << 8 | byte)
+            node = at
+            t = ending[node]  # the longest token that ends here, then shorter ones: one of them fits
+            while True:
+                k = end - size[t]
+                if k > 0:
+                    left = token[k - 1]
+                    if left >= 0:
+                        fits = pairs(left * wide + t)
+                        if own.beside(left, t) if fits is None else fits:
+                            break
+                elif k == 0 and (before < 0 or own.beside(before, t)):
+                    break
+                t = shorter[t]
+            start.append(k)
+            token.append(t)
+            if end >= most:
+                out += self.final(end - own.lookahead)
+                end, before = len(token), self.before
+        self.node = node
+        return out
+
+    def final(self, until: int) -> list[int]:
+        """Emit the tokens that end at ``until`` or before."""
+        out, k = [], len(self.token)
+        while k:
+            if k <= until:
+                out.append(k)
+            k = self.start[k - 1]
+        tokens = [self.token[k - 1] for k in reversed(out)]
+        if out:
+            done = out[0]
+            del self.start[:done], self.token[:done]
+            self.start[:] = [s - done for s in self.start]  # what begins before is of no encoding that is still open
+            self.token[:] = [t if s >= 0 else -2 for s, t in zip(self.start, self.token)]
+            self.before = tokens[-1]
+        return tokens
+
+    def end(self) -> list[int]:
+        """The tokens of the whole window; nothing follows."""
+        out, k = [], len(self.token)
+        while k:
+            out.append(self.token[k - 1])
+            k = self.start[k - 1]
+        out.reverse()
+        return out
+
+
+class Transducer(MergeList):
     """Encoder and decoder of one merge list."""
 
-    def __init__(self, model_file: str, memory: int = 600_000):
-        with open(model_file, encoding="utf-8") as f:
-            spec = json.load(f)
-        vocabulary, symbols = spec["model"]["vocab"], byte_symbols()
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.bytes_of = {i: bytes(symbols[c] for c in t) for t, i in vocabulary.items() if t not in self.special}
-        self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
-        self.rank: dict[tuple[int, int], int] = {}
-        self.parts: dict[int, tuple[int, int]] = {}
-        for n, pair in enumerate(spec["model"]["merges"]):
-            a, b = pair.split(" ") if isinstance(pair, str) else pair
-            pair = vocabulary[a], vocabulary[b]
-            self.rank[pair] = n
-            self.parts.setdefault(vocabulary[a + b], pair)
-        self.edges: dict[int, tuple[list, list]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        # tokens that the merges reach: the halves may stand side by side but for the merge that joins them
-        self.tokens = {self.bytes_of[i]: i for i in vocabulary.values() if i in self.bytes_of and (i not in self.parts or self.side_by_side(*self.parts[i], below=self.rank[self.parts[i]]))}
-        self.tokens = {b: i for b, i in self.tokens.items() if len(b) == 1 or i in self.parts}
-        self.lookahead = max(map(len, self.tokens))
-        self.next: dict[int, int] = {}  #: prefix tree of the tokens: node and byte to node
-        self.at = [-1]  #: the token that ends at a node
-        self.shorter: dict[int, int] = {}  #: the longest token that a token begins with
-        for data in sorted(self.tokens):
-            node, best = 0, -1
+    def __init__(self, model_file: str, memory: int = 256 << 20):
+        super().__init__(model_file)
+        tokens = self.reached()
+        self.longest, self.lookahead = max(map(len, tokens)), super().lookahead()
+        self.wide = 1 + max(self.bytes_of)
+        self.size = [0] * self.wide
+        self.step: dict[int, int] = {}  #: automaton of the tokens: node and byte to node,
+        self.fail = [0]  #: where to go on if there is none,
+        self.ending = [-1]  #: and the longest token that ends at a node
+        self.shorter = [-1] * self.wide  #: the longest token that a token ends with
+        last, order = {}, [0]
+        for data, token in tokens.items():
+            self.size[token], node = len(data), 0
             for b in data:
-                if self.at[node] >= 0:
-                    best = self.at[node]
-                step = node << 8 | b
-                if step not in self.next:
-                    self.next[step] = len(self.at)
-                    self.at.append(-1)
-                node = self.next[step]
-            self.at[node] = self.tokens[data]
-            self.shorter[self.tokens[data]] = best
-        self.splitter = regex.compile("(" + "|".join(regex.escape(s) for s in self.special) + ")") if self.special else None
-        self.memory, self.known, self.machine = memory, _Known(self), codecs.getincrementaldecoder("utf-8")("replace")
-
-    def spine(self, token: int, right: bool) -> list[tuple[int, int]]:
-        """Tokens on the right (left) edge while the token is built, with the rank at which each is absorbed."""
-        out, until = [], 1 << 60
-        while True:
-            out.append((token, until))
-            if token not in self.parts:
-                return out
-            until = self.rank[self.parts[token]]
-            token = self.parts[token][right]
-
-    def side_by_side(self, a: int, b: int, below: int = 1 << 60) -> bool:
-        """Whether no merge across the border of a and b (of rank under ``below``) comes before both sides are closed.
-
-        Of equal merges the one further left is made first: a merge across the
-        border goes after an equal one inside a, and before an equal one inside b.
-        """
-        for token in (a, b):
-            if token not in self.edges:
-                self.edges[token] = self.spine(token, True), self.spine(token, False)
-        for x, x_until in self.edges[a][0]:
-            for y, y_until in self.edges[b][1]:
-                m = self.rank.get((x, y))
-                if m is not None and m < below and m < x_until and m <= y_until:
-                    return False
-        return True
-
-    def follows(self, a: int, b: int) -> bool:
-        found = self.pairs.get((a, b))
-        if found is None:
-            if len(self.pairs) > self.memory:
-                self.pairs.clear()
-            found = self.pairs[a, b] = self.side_by_side(a, b)
+                key = node << 8 | b
+                if key not in self.step:
+                    self.step[key] = len(self.fail)
+                    self.fail.append(0)
+                    self.ending.append(-1)
+                    order.append(key)
+                node = self.step[key]
+            last[token], self.ending[node] = node, token
+        depth = [0] * len(order)
+        for node in range(1, len(order)):  # a node's parent has a smaller number
+            depth[node] = depth[order[node] >> 8] + 1
+        for node in sorted(range(1, len(order)), key=depth.__getitem__):
+            parent, b = divmod(order[node], 256)
+            at = self.fail[parent]
+            while parent and (at << 8 | b) not in self.step and at:
+                at = self.fail[at]
+            self.fail[node] = self.step.get(at << 8 | b, 0) if parent else 0
+            if self.ending[node] < 0:
+                self.ending[node] = self.ending[self.fail[node]]
+        for token, node in last.items():
+            self.shorter[token] = self.ending[self.fail[node]]
+        self.runs = Runs(self.run, [*self.special], memory)
+
+    def beside(self, a: int, b: int) -> bool:
+        """``side_by_side``, kept for the pairs met."""
+        if len(self.pairs) >= self.pairs_held:
+            self.pairs.clear()
+        found = self.pairs[a * self.wide + b] = self.side_by_side(a, b)
         return found
 
-    def stream(self, data: bytes):
-        """Ids of one pretoken, each emitted once stable."""
-        get, follows, size = self.tokens.get, self.follows, self.lookahead
-        last: dict[int, tuple[int, int]] = {}  # prefix length: (start of its last token, id)
-        done, n = 0, len(data)
-        for i in range(1, n + 1):
-            for j in range(max(done, i - size), i):
-                token = get(data[j:i])
-                if token is not None and (j == 0 or (j in last and follows(last[j][1], token))):
-                    last[i] = j, token
-                    break
-            if i - done >= 4 * size or i == n:
-                stable = i if i == n else self.common(last, done, i)
-                path = []
-                while stable > done and (not path or path[-1][0] > done):
-                    path.append(last[path[-1][0] if path else stable])
-                yield from (token for _, token in reversed(path))
-                if path:  # what lies behind the last emitted token is not needed any more
-                    done = stable
-                    last = {k: v for k, v in last.items() if k >= done}
-
-    def whole(self, data: bytes) -> list[int]:
-        """Ids of a pretoken within one window."""
-        n, step, at, follows, shorter, length = len(data), self.next.get, self.at, self.follows, self.shorter, self.bytes_of
-        path, pos, dead, prev, token = [], 0, set(), -1, -1
-        while pos < n:
-            if token < 0:
-                node, i = 0, pos
-                while i < n:
-                    node = step(node << 8 | data[i], -1)
-                    if node < 0:
-                        break
-                    i += 1
-                    if at[node] >= 0:
-                        token = at[node]
-            while token >= 0:
-                end = pos + len(length[token])
-                if end not in dead and (prev < 0 or follows(prev, token)):
-                    break
-                token = shorter[token]
-            if token >= 0:
-                path.append(token)
-                pos, prev, token = end, token, -1
+    def pretoken(self, data: bytes) -> list[int]:
+        stream = Stream(self)
+        return stream.feed(data) + stream.end()
+
+    def run(self, run: str) -> tuple[tuple[int, str, bytes], int]:
+        """Number of ids, ids in decimal, and their bytes, of a run of pretokens."""
+        if run in self.special:
+            ids = [self.special[run]]
+        else:
+            parts = pretokens(run)
+            if len(parts) > 1:  # each of them is remembered by itself
+                found = self.runs.plain_parts(parts)
+                ids = ",".join([x[1] for x in found])
+                data = b"".join([x[2] for x in found])
+                return (sum([x[0] for x in found]), ids, data), len(ids) + len(data) + 150
+            ids = self.pretoken(run.encode())
+        text, data = ",".join(map(str, ids)), b"".join(map(self.bytes_of.__getitem__, ids))
+        return (len(ids), text, data), len(text) + len(data) + 150
+
+    def digest(self, text: str) -> tuple[int, str, str]:
+        """Number of ids, and SHA-256 of the ids (decimal, joined by commas) and of the decoded text."""
+        n, ids, plain, machine, comma = 0, hashlib.sha256(), hashlib.sha256(), codecs.getincrementaldecoder("utf-8")("replace"), b""
+        for found in map(self.runs.of, blocks(text)):
+            if not found:
                 continue
-            while token < 0:  # back until a token can be shortened
-                dead.add(pos)
-                last = path.pop()
-                pos -= len(length[last])
-                token = shorter[last]
-            prev = path[-1] if path else -1
-        return path
-
-    def common(self, last: dict, done: int, i: int) -> int:
-        """The longest prefix that the encodings of all prefixes still open share."""
-        open_ = {k for k in range(max(done, i - self.lookahead + 1), i + 1) if k in last or k == done}
-        while len(open_) > 1:
-            k = max(open_)
-            open_.remove(k)
-            open_.add(max(done, last[k][0]))
-        return open_.pop()
-
-    def pretoken(self, token: str) -> list[int]:
-        data = token.encode()
-        return self.whole(data) if len(data) <= self.lookahead else [*self.stream(data)]
-
-    def pretokens(self, text: str) -> list[str]:
-        if UNEVEN.search(text):
-            return PATTERN.findall(text)
-        # single spaces and line feeds between other characters: pretokens don't reach across them
-        return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00") if text else []
-
-    def encode(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, ids in decimal joined by commas, and the decoded text."""
-        n, ids, out = 0, [], []
-        for part in self.splitter.split(text) if self.splitter else [text]:
-            if part in self.special:
-                n, ids, out = n + 1, [*ids, str(self.special[part])], [*out, part]
-            elif part:
-                found = [*map(self.known.__getitem__, self.pretokens(part))]
-                n += sum([x[0] for x in found])
-                ids += [x[1] for x in found]
-                out += [x[2] for x in found]
-                if len(self.known) > self.memory:
-                    self.known = _Known(self)
-        return n, ",".join(ids), "".join(out)
+            n += sum([x[0] for x in found])
+            ids.update(comma + ",".join([x[1] for x in found]).encode())
+            plain.update(machine.decode(b"".join([x[2] for x in found])).encode())
+            comma = b","
+        plain.update(machine.decode(b"", True).encode())
+        return n, ids.hexdigest(), plain.hexdigest()
 
     def ids(self, text: str) -> list[int]:
-        joined = self.encode(text)[1]
-        return [*map(int, joined.split(","))] if joined else []
+        return [int(i) for part in blocks(text) for x in self.runs.of(part) for i in x[1].split(",")]
 
     def decode(self, ids: list[int]) -> str:
-        machine, size = self.machine, 4096
-        machine.reset()
-        out = [machine.decode(b"".join(map(self.bytes_of.__getitem__, ids[k : k + size])), k + size >= len(ids)) for k in range(0, len(ids), size)]
-        return "".join(out)
-
+        return "".join(self.decoded(iter(ids)))
 
-class _Known(dict):
-    """Number of ids, joined ids and decoded text of runs of characters that no pretoken crosses."""
-
-    def __init__(self, own: Transducer):
-        super().__init__()
-        self.own = own
-
-    def __missing__(self, run: str):
-        parts = PATTERN.findall(run)
-        if len(parts) > 1:
-            found = [self[p] for p in parts]
-            found = sum([x[0] for x in found]), ",".join([x[1] for x in found]), "".join([x[2] for x in found])
-        else:
-            ids = self.own.pretoken(run)
-            found = len(ids), ",".join(map(str, ids)), self.own.decode(ids)
-        if found[2] == run:
-            found = found[0], found[1], run
-        self[run] = found
-        return found
+    def decoded(self, ids: Iterator[int]) -> Iterator[str]:
+        """Text of a stream of ids, as soon as its characters are complete."""
+        machine = codecs.getincrementaldecoder("utf-8")("replace")
+        for i in ids:
+            if out := machine.decode(self.bytes_of[i]):
+                yield out
+        if out := machine.decode(b"", True):
+            yield out
 
 
 _loaded: dict[str, Transducer] = {}
@@ -255,16 +215,15 @@ def round_trip(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_co
     def run(batches):
         own = transducer(model_file)
         for batch in batches:
-            n, shas, plain, kept = [], [], [], []
+            out, kept = [], []
             for part in portions(batch, "text"):
-                for text in part:
-                    k, ids, decoded = own.encode(text)
-                    n.append(k)
-                    shas.append(hashlib.sha256(ids.encode()).hexdigest())
-                    plain.append(hashlib.sha256(decoded.encode()).hexdigest())
-                    if texts:
-                        kept.append((ids, decoded))
-            arrays = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(shas, pa.string()), pa.array(plain, pa.string())]
+                out += map(own.digest, part)
+                if texts:
+                    for text in part:
+                        ids = own.ids(text)
+                        kept.append((",".join(map(str, ids)), own.decode(ids)))
+            kinds = (pa.int64(), pa.string(), pa.string())
+            arrays = [batch.column("doc_id"), *[pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)]]
             arrays += [pa.array([x[k] for x in kept], pa.string()) for k in (0, 1)] if texts else []
             yield pa.RecordBatch.from_arrays(arrays, [x.split()[0] for x in schema.split(", ")])
 

@@ -84,19 +84,89 @@ def test_round_trip(spark):
     assert sorted(tuple(r)[1:] for r in got.collect()) == sorted(expected)
 
 
-def test_streaming_emits_what_the_forward_search_finds():
-    own = bpe_transducer.Transducer(public_tokenizers.path("byte_bpe_50k.json"))
-    r = random.Random(5)
+def odd_pretoken(r):
+    kinds = ["ab", "the", "ing", "z", "é", "aaaa", "tion", "----", "=", "x" * 70, "thethe", "日本"]
+    return "".join(r.choice(kinds) * r.randint(1, 20) for _ in range(r.randint(1, 80)))
+
+
+def test_every_token_comes_from_the_stream(spark, sf_dir, monkeypatch):
+    own, lib = bpe_transducer.Transducer(public_tokenizers.path("byte_bpe_50k.json")), library("byte_bpe_50k.json")
+    own.runs.known.longest = own.runs.spaced.longest = -1  # nothing is remembered
+    emitted = []
+    for name in ("feed", "end"):
+        plain = getattr(bpe_transducer.Stream, name)
+        monkeypatch.setattr(bpe_transducer.Stream, name, lambda self, *a, plain=plain: emitted.append(plain(self, *a)) or emitted[-1])
+    values = [r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40).collect()] + [t or "" for t in texts(9, 20)]
+    values = [t.replace("\n", " ") for t in values]  # the line feed's own token is looked up once for a text
+    special = 0
+    for text in values:
+        want = lib.encode(text, add_special_tokens=False).ids
+        assert own.digest(text)[0] == len(want) and own.ids(text) == want
+        special += sum(i == 50256 for i in want)
+    n = sum(len(lib.encode(t, add_special_tokens=False).ids) for t in values)
+    emitted.clear()
+    assert sum(own.digest(t)[0] for t in values) == n and sum(map(len, emitted)) == n - special
+
+
+def test_the_window_of_a_long_pretoken_is_bounded():
+    own, lib = bpe_transducer.Transducer(public_tokenizers.path("byte_bpe_50k.json")), library("byte_bpe_50k.json")
+    r, most = random.Random(5), 2 * (own.lookahead + own.longest)
+    for _ in range(40):
+        text = odd_pretoken(r)
+        stream, out = bpe_transducer.Stream(own), []
+        for byte in text.encode():
+            out += stream.feed(bytes([byte]))
+            assert len(stream.token) < most
+        pieces = bpe_transducer.pretokens(text)
+        assert [t for p in pieces for t in own.pretoken(p.encode())] == lib.encode(text, add_special_tokens=False).ids
+        if len(pieces) == 1:
+            assert out + stream.end() == lib.encode(text, add_special_tokens=False).ids
+
+
+def test_lookahead_decides_tokens():
+    """Tokens that end ``lookahead`` bytes before the last byte read are those of the whole pretoken."""
+    own, lib = bpe_transducer.Transducer(public_tokenizers.path("byte_bpe_50k.json")), library("byte_bpe_50k.json")
+    r = random.Random(6)
     for _ in range(60):
-        data = "".join(r.choice(["ab", "the", "ing", "z", "é", "aaaa", "tion"]) for _ in range(r.randint(1, 400))).encode()
-        assert [*own.stream(data)] == own.whole(data)
+        text = "".join(r.choice(["the", "ing", "a", "aa", "tion", "er", "s", "ss", "zz"]) for _ in range(300))
+        whole = lib.encode(text).ids
+        for cut in r.sample(range(own.lookahead, len(text)), 5):
+            at = 0
+            for mine, its in zip(lib.encode(text[:cut]).ids, whole):
+                at += len(own.bytes_of[mine])
+                if at > cut - own.lookahead:
+                    break
+                assert mine == its
+
+
+def test_lookahead_of_a_small_list(tmp_path):
+    """In 'ab', 'bc', 'cd' (made in the reverse order) every merge waits for the next one."""
+    import json
+
+    from tenderlake.llm.merges import MergeList
+
+    vocabulary = {c: i for i, c in enumerate(["a", "b", "c", "d", "cd", "bc", "ab"])}
+    (tmp_path / "m.json").write_text(json.dumps({"added_tokens": [], "model": {"vocab": vocabulary, "merges": ["c d", "b c", "a b"]}}))
+    own = MergeList(str(tmp_path / "m.json"))
+    assert own.lookahead() == 3 and not own.follows(vocabulary["a"], vocabulary["b"]) and own.follows(vocabulary["ab"], vocabulary["cd"])
 
 
 def test_memory_is_bounded():
-    own = bpe_transducer.Transducer(public_tokenizers.path("byte_bpe_50k.json"), memory=10)
-    for i in range(50):
-        own.encode(f"w{i} x{i} y{i}")
-    assert len(own.known) < 20 and len(own.pairs) < 60
+    own = bpe_transducer.Transducer(public_tokenizers.path("byte_bpe_50k.json"), memory=20_000)
+    own.pairs_held = 30
+    for i in range(200):
+        own.digest(f"w{i} x{i} y{i}")
+    assert own.runs.known.held <= 5_000 and own.runs.spaced.held <= 15_000 and len(own.pairs) <= 31
+
+
+def test_long_texts_pass_in_blocks(monkeypatch):
+    own, lib = bpe_transducer.Transducer(public_tokenizers.path("byte_bpe_50k.json")), library("byte_bpe_50k.json")
+    plain = bpe_transducer.blocks
+    monkeypatch.setattr(bpe_transducer, "blocks", lambda text: plain(text, 50))
+    r = random.Random(7)
+    for _ in range(30):
+        text = "".join(r.choice(["word", " ", "  ", "\n", "é", "<|endoftext|>", "12", "!?", " x"]) for _ in range(200))
+        assert own.ids(text) == lib.encode(text, add_special_tokens=False).ids and "".join(plain(text, 50)) == text
 
 
 def test_decoding_broken_bytes():
