@@ -18,11 +18,11 @@ def same_key(old: DataFrame, new: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [old[k].eqNullSafe(new[k]) for k in keys])
 
 
-def upsert_registry(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """business_number, canonical_url, summary_payload, first_seen_at, last_seen_at by key.
+def upsert_registry(old: DataFrame, new: DataFrame, keys: list[str], latest: tuple[str, ...] = ()) -> DataFrame:
+    """business_number, canonical_url, summary_payload, first_seen_at, last_seen_at and the columns ``latest`` by key.
 
     A new number, address or summary replaces the old one only if there is one
-    (an empty summary object counts as none); the first sighting is kept.
+    (an empty summary object counts as none), so do the columns ``latest``; the first sighting is kept.
     """
     o, n = old.alias("o"), new.alias("n")
     on = reduce(lambda a, b: a & b, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys])
@@ -34,16 +34,19 @@ def upsert_registry(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFram
         F.coalesce(F.nullif(F.col("n.summary_payload"), F.lit("{}")), F.col("o.summary_payload")).alias("summary_payload"),
         F.least("o.first_seen_at", "n.first_seen_at").alias("first_seen_at"),
         F.greatest("o.last_seen_at", "n.last_seen_at").alias("last_seen_at"),
+        *[either(c) for c in latest],
     )
 
 
 def upsert_by_hash(old: DataFrame, new: DataFrame, keys: list[str], hash_col: str = "content_hash", touch: str = "last_success_at", changed_at: str = "updated_at") -> DataFrame:
-    """Next version with a ``change`` column: new, changed (the new row), unchanged (the old row, touched) or kept (not in the batch)."""
+    """Next version with a ``change`` column: new, changed (the new row), unchanged (the old row, touched) or kept (not in the batch).
+
+    Rows without a hash are equal to others without one and differ from all with one.
+    """
     values = [c for c in old.columns if c not in (*keys, touch, changed_at)]
-    o, n = old.alias("o"), new.alias("n")
+    o, n = old.withColumn("_there", F.lit(True)).alias("o"), new.withColumn("_came", F.lit(True)).alias("n")
     on = reduce(lambda a, b: a & b, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys])
-    there, came = F.col(f"o.{hash_col}").isNotNull(), F.col(f"n.{hash_col}").isNotNull()
-    change = F.when(~there, "new").when(~came, "kept").when(F.col(f"o.{hash_col}") == F.col(f"n.{hash_col}"), "unchanged").otherwise("changed")
+    change = F.when(F.col("_there").isNull(), "new").when(F.col("_came").isNull(), "kept").when(F.col(f"o.{hash_col}").eqNullSafe(F.col(f"n.{hash_col}")), "unchanged").otherwise("changed")
     fresh = change.isin("new", "changed")
     return o.join(n, on, "full_outer").select(
         *[F.coalesce(F.col(f"n.{k}"), F.col(f"o.{k}")).alias(k) for k in keys],
@@ -56,7 +59,7 @@ def upsert_by_hash(old: DataFrame, new: DataFrame, keys: list[str], hash_col: st
 
 def revisions(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str], hash_col: str = "content_hash") -> DataFrame:
     """The replaced rows as JSON: key, content_hash, payload."""
-    changed = old.alias("o").join(new.select(*keys, F.col(hash_col).alias("_new")).alias("n"), keys).where(F.col(f"o.{hash_col}") != F.col("_new"))
+    changed = old.alias("o").join(new.select(*keys, F.col(hash_col).alias("_new")).alias("n"), keys).where(~F.col(f"o.{hash_col}").eqNullSafe(F.col("_new")))
     return changed.select(*keys, F.col(f"o.{hash_col}").alias(hash_col), F.to_json(F.struct(*[F.col(f"o.{c}").alias(c) for c in columns])).alias("payload"))
 
 
@@ -108,8 +111,8 @@ def last_write(rows: DataFrame, keys: list[str], values: list[str], order: list[
 
 
 def prune(log: DataFrame, at: str, as_of: str, days: int = 90) -> tuple[DataFrame, DataFrame]:
-    """Rows within the retention time, and a one-row count of those dropped."""
-    old = F.col(at) < F.expr(f"timestamp_ntz '{as_of}' - interval {days} days")
+    """Rows within the retention time, and a one-row count of those dropped. Rows without a time stay."""
+    old = F.coalesce(F.col(at) < F.expr(f"timestamp_ntz '{as_of}' - interval {days} days"), F.lit(False))
     return log.where(~old), log.agg(F.count_if(old).alias("deleted"))
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tenderlake.operators import merge, worklist
-from tenderlake.sources.versions import Store
+from tenderlake.operators.extraction import Batch
+from tenderlake.sources.versions import Store, Transaction
+from tenderlake.streaming.tasks import merge_tasks
 
 KEY = ["source", "entity_type", "source_entity_id"]
 ENTITIES = "source string, entity_type string, source_entity_id string, payload string, content_hash string, last_success_at timestamp, updated_at timestamp"
@@ -54,32 +56,37 @@ def merge_batch(store: Store, entities: DataFrame, edges: DataFrame, stream: str
 
 
 def _merge(store: Store, entities: DataFrame, edges: DataFrame, stream: str, batch_id: int) -> None:
-    pinned = store.pointer()
     latest = merge.latest_per_key(entities, KEY, [F.desc("fetched_at"), F.desc("content_hash")])
     new = latest.select(*KEY, "payload", "content_hash", F.col("fetched_at").alias("last_success_at"), F.col("fetched_at").alias("updated_at"))
-    old, known = store.read("entities", ENTITIES, pinned), store.read("relations", RELATIONS, pinned)
     fresh = edges.groupBy(*EDGE).agg(F.min("at").alias("first_seen_at"), F.max("at").alias("last_seen_at"))
     parents = latest.select(*[F.col(k).alias(p) for k, p in zip(KEY, PARENT)])
-    gone = merge.vanished_relations(known, fresh, parents, PARENT, EDGE)
-    store.commit(
-        {
-            "entities": merge.upsert_by_hash(old, new, KEY).drop("change"),
-            "relations": merge.upsert_relations(merge.delete_edges(known, gone, EDGE), fresh, EDGE),
-        },
-        stream,
-        batch_id,
-        appended={"revisions": merge.revisions(old, new, KEY, ["payload"])},
-    )
+
+    def build(tx: Transaction) -> None:
+        """From the pinned version alone, and again if another stream published meanwhile."""
+        for name in ("entities", "relations"):
+            tx.whole.add(name)
+        old, known = store.read("entities", ENTITIES, tx.pinned), store.read("relations", RELATIONS, tx.pinned)
+        gone = merge.vanished_relations(known, fresh, parents, PARENT, EDGE)
+        tx.replace("entities", merge.upsert_by_hash(old, new, KEY).drop("change"))
+        tx.replace("relations", merge.upsert_relations(merge.delete_edges(known, gone, EDGE), fresh, EDGE))
+        tx.append("revisions", merge.revisions(old, new, KEY, ["payload"]))
+
+    store.transact(build, stream, batch_id)
 
 
 def ingest(records: DataFrame, parse, store: Store, checkpoint: str, stream: str = "ingest", every: str | None = None):
-    """Start the ingest stream; ``parse`` turns a batch of records into (entities, edges).
+    """Start the ingest stream; ``parse`` turns a batch of records into (entities, edges) or an ``extraction.Batch``.
 
+    A ``Batch`` is judged task by task and goes into all tables (``tasks.merge_tasks``).
     Without ``every`` the stream drains what is there and stops.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(store, *parse(batch), stream, batch_id)
+        parsed = parse(batch)
+        if isinstance(parsed, Batch):
+            merge_tasks(store, parsed, stream, batch_id)
+        else:
+            merge_batch(store, *parsed, stream, batch_id)
 
     writer = records.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
@@ -88,20 +95,31 @@ def ingest(records: DataFrame, parse, store: Store, checkpoint: str, stream: str
 WORKLIST = "source string, entity_type string, source_entity_id string, priority int, available_at timestamp, attempt int, payload string"
 
 
-def refresh(store: Store, policies: dict[str, dict], now: str, stream: str, batch_id: int) -> None:
+def refresh(store: Store, policies: dict[str, dict], now: str, stream: str, batch_id: int, table: str = "entities") -> None:
     """Enqueue the entities that the policies call due; a batch that was committed before is skipped.
 
     policies: name (as in ``refresh_candidates``) to older_seconds, newer_seconds, limit and
-    priority. The status is that of the payload. An entity due twice gets the higher priority.
+    priority. The status is the table's, or that of the payload. An entity due twice gets the
+    higher priority. Work that another writer queues meanwhile is kept.
     """
-    if store.seen(stream, batch_id):
-        return
-    pinned = store.pointer()
-    entities = store.read("entities", ENTITIES, pinned).withColumn("key", F.concat_ws(":", *KEY))
-    status = entities.select("key", F.get_json_object("payload", "$.status").alias("status"))
-    due = [worklist.refresh_candidates(entities, [status], name, now, p["older_seconds"], p["newer_seconds"], p["limit"], "key").select(*KEY, F.lit(p["priority"]).alias("priority")) for name, p in policies.items()]
-    items = reduce(DataFrame.unionByName, due).select("*", F.lit(now).cast("timestamp").alias("available_at"), F.lit("{}").alias("payload"), F.lit(True).alias("refresh_existing"))
-    store.commit({"worklist": merge.enqueue(store.read("worklist", WORKLIST, pinned), items, entities, KEY)}, stream, batch_id)
+
+    def build(tx: Transaction) -> None:
+        entities = store.read(table, None if table in tx.pinned["tables"] else ENTITIES, tx.pinned).withColumn("key", F.concat_ws(":", *KEY))
+        own = F.col("status") if "status" in entities.columns else F.get_json_object("payload", "$.status")
+        status = entities.select("key", own.alias("status"))
+        due = [worklist.refresh_candidates(entities.drop("status"), [status], name, now, p["older_seconds"], p["newer_seconds"], p["limit"], "key").select(*KEY, F.lit(p["priority"]).alias("priority")) for name, p in policies.items()]
+        items = reduce(DataFrame.unionByName, due).select("*", F.lit(now).cast("timestamp").alias("available_at"), F.lit("{}").alias("payload"), F.lit(True).alias("refresh_existing"))
+        if tx.pinned["tables"].get("worklist", {}).get("kind") == "buckets":
+            items = items.persist()  # at most the limits of the policies
+            buckets = tx.buckets("worklist", items.select(*KEY))
+            if buckets:
+                tx.write("worklist", merge.enqueue(tx.read("worklist", buckets), items, entities, KEY), buckets)
+            items.unpersist()
+        else:
+            tx.whole.add("worklist")
+            tx.replace("worklist", merge.enqueue(store.read("worklist", WORKLIST, tx.pinned), items, entities, KEY))
+
+    store.transact(build, stream, batch_id)
 
 
 def periodic(ticks: DataFrame, job, checkpoint: str, every: str | None = None):
