@@ -4,6 +4,10 @@ All of them are null-safe and return null for values they cannot read, also
 under ANSI mode.
 """
 
+import json
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -171,16 +175,60 @@ def json_contains(payload: Column, expected: dict[str, str]) -> Column:
 
 
 def merge_json(old: Column, new: Column) -> Column:
-    """Shallow merge of two flat JSON objects; the right one wins."""
-    a, b = (F.from_json(F.coalesce(c, F.lit("{}")), "map<string,string>") for c in (old, new))
-    return canonical_json(F.map_concat(F.map_filter(a, lambda k, _: ~F.array_contains(F.map_keys(b), k)), b))
+    """Shallow merge of two JSON objects, keys in order; the right one wins. Values keep their types and digits."""
+    a, b = (F.from_json(F.coalesce(c, F.lit("{}")), "map<string,variant>") for c in (old, new))
+    merged = F.map_concat(F.map_filter(a, lambda k, _: ~F.array_contains(F.map_keys(b), k)), b)
+    names = F.array_sort(F.map_keys(merged))
+    return F.to_json(F.map_from_arrays(names, F.transform(names, lambda k: F.try_element_at(merged, k))))
+
+
+_JSON_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\],:]|[^\s"{}\[\],:]+|\s+|"', re.S)
+
+
+def redact_text(line: str, keys: frozenset[str]) -> str:
+    """A line of JSON with the values of secret keys replaced, whatever their depth and form; all else stays byte for byte."""
+    out, tokens, i = [], _JSON_TOKEN.findall(line), 0
+    while i < len(tokens):
+        name = tokens[i]
+        out.append(name)
+        i += 1
+        colon = i
+        while colon < len(tokens) and tokens[colon].isspace():
+            colon += 1
+        if name[0] != '"' or colon == len(tokens) or tokens[colon] != ":" or _unquoted(name).lower() not in keys:
+            continue
+        value = colon + 1
+        while value < len(tokens) and tokens[value].isspace():
+            value += 1
+        out += [*tokens[i:value], '"[REDACTED]"']
+        i, depth = value, 0
+        while i < len(tokens):  # past the value
+            token = tokens[i]
+            if depth == 0 and token in ("}", "]", ","):
+                break
+            depth += (token in ("{", "[")) - (token in ("}", "]"))
+            i += 1
+            if depth == 0 and not token.isspace():
+                break
+    return "".join(out)
+
+
+def _unquoted(name: str) -> str:
+    try:
+        return json.loads(name) if "\\" in name else name[1:-1]
+    except ValueError:
+        return name[1:-1]
 
 
 def redact(payload: Column, keys: tuple[str, ...] = SECRET_KEYS) -> Column:
-    """Values of secret keys, at any depth and in any case, replaced; scalars, one-level lists and objects as values."""
-    names = "|".join(k.replace("-", r"\-") for k in keys)
-    value = r'("(?:[^"\\]|\\.)*"|\[[^\[\]]*\]|\{[^{}]*\}|[^,}\]\s]+)'
-    return F.regexp_replace(payload, rf'(?i)("(?:{names})"\s*:\s*){value}', '$1"[REDACTED]"')
+    """Values of secret keys, at any depth and in any case, replaced; a value may be a scalar, a list or an object of any depth."""
+    names = frozenset(k.lower() for k in keys)
+
+    @F.pandas_udf("string")
+    def run(lines: pd.Series) -> pd.Series:
+        return lines.map(lambda x: redact_text(x, names), na_action="ignore")
+
+    return run(payload)
 
 
 def duration_parts(seconds: Column) -> Column:

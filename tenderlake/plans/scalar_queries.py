@@ -127,15 +127,17 @@ def conditionals(t):
     )
 
 
-@query("d14_merge_json", """SELECT event_id, concat('{"k":"', CASE WHEN event_id % 2 = 0 THEN 'new' ELSE props ->> '$.k' END, '","user":"', user_id, '"}') AS merged FROM events""")
+@query("d14_merge_json", """SELECT event_id, concat('{"at":{"id":', event_id, ',"ok":true},"k":', CASE WHEN event_id % 2 = 0 THEN '"new"' ELSE CAST(props -> '$.k' AS VARCHAR) END, ',"user":', user_id, '}') AS merged FROM events""")
 def merge_json(t):
-    new = F.when(F.col("event_id") % 2 == 0, F.to_json(F.struct(F.lit("new").alias("k"), F.col("user_id").alias("user")))).otherwise(F.to_json(F.struct(F.col("user_id").alias("user"))))
+    at = F.struct(F.col("event_id").alias("id"), F.lit(True).alias("ok")).alias("at")
+    new = F.when(F.col("event_id") % 2 == 0, F.to_json(F.struct(F.lit("new").alias("k"), F.col("user_id").alias("user"), at))).otherwise(F.to_json(F.struct(F.col("user_id").alias("user"), at)))
     return t.events.select("event_id", S.merge_json(F.col("props"), new).alias("merged"))
 
 
-@query("d15_redact", """SELECT event_id, concat('{"Cookie":"[REDACTED]","x":{"proxy_password":"[REDACTED]"},"user":', user_id, '}') AS line FROM events""")
+@query("d15_redact", """SELECT event_id, concat('{"Cookie":"[REDACTED]","list":[{"x":{"Authorization":"[REDACTED]"}},{"n":', event_id, '}],"x":{"proxy_password":"[REDACTED]"},"user":', user_id, '}') AS line FROM events""")
 def redact(t):
-    line = F.concat(F.lit('{"Cookie":"s\\"e; cret","x":{"proxy_password":'), F.get_json_object("props", "$.k"), F.lit('},"user":'), F.col("user_id"), F.lit("}"))
+    listed = F.concat(F.lit('"list":[{"x":{"Authorization":{"a":[{"b":"secret ]}"}]}}},{"n":'), F.col("event_id"), F.lit("}]"))
+    line = F.concat(F.lit('{"Cookie":"s\\"e; cret",'), listed, F.lit(',"x":{"proxy_password":'), F.get_json_object("props", "$.k"), F.lit('},"user":'), F.col("user_id"), F.lit("}"))
     return t.events.select("event_id", S.redact(line).alias("line"))
 
 
