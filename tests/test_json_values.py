@@ -37,3 +37,14 @@ def test_deep_lines_are_redacted(spark):
     deep = '{"a":' * 3000 + '{"cookie":' + "[" * 3000 + "]" * 3000 + "}" + "}" * 3000
     got = [r[0] for r in spark.createDataFrame([(deep,), (None,), ('{"cookie":{"a":1}}',)], "line string").coalesce(1).select(S.redact(F.col("line"))).collect()]
     assert got[0] == '{"a":' * 3000 + '{"cookie":"[REDACTED]"}' + "}" * 3000 and got[1] is None and json.loads(got[2]) == {"cookie": "[REDACTED]"}
+
+
+def test_deep_documents_are_walked_and_searched(spark):
+    from tenderlake.operators import json_docs as C
+
+    deep = '{"x":0,"data":' * 1200 + '[{"id":1}]' + "}" * 1200
+    twice = '{"content":{"items":[]},"result":' * 1100 + '[{"id":2}]' + "}" * 1100
+    beyond = "[" * 200_000 + "]" * 200_000
+    docs = spark.createDataFrame([("a", deep), ("b", twice), ("c", beyond), ("d", None)], "key string, body string").coalesce(1)
+    assert {r.key: r.n for r in C.walk(docs, "key", "body").groupBy("key").count().withColumnRenamed("count", "n").collect()} == {"a": 1201, "b": 2201}
+    assert {r.key: r.source_entity_id for r in C.discovered_items(docs, "body", "lot", "https://portal.example").collect()} == {"a": "1", "b": "2"}
