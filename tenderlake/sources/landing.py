@@ -12,9 +12,15 @@ FETCH_FAILURES = "source string, entity_type string, source_entity_id string, st
 CHALLENGES = "provider string, status string, cost decimal(12,6), latency_ms int, created_at timestamp"
 
 
-def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Whole files of a landing folder as (path, body)."""
-    return spark.read.text(folder, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("body"))
+def raw_pages(spark: SparkSession, folder: str, stream: bool = False, at_once: int = 1000, archive: str | None = None) -> DataFrame:
+    """Whole files of a landing folder as (path, body).
+
+    As a stream, ``at_once`` files make a batch; with ``archive`` files that were read move there.
+    """
+    reader = spark.readStream.option("maxFilesPerTrigger", at_once) if stream else spark.read
+    if stream and archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader.text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
 
 
 def raw_records(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
@@ -62,12 +68,16 @@ def csv_rows(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
 
 
 def has_bom(spark: SparkSession, path: str) -> Column:
-    """Whether a file begins with the mark; three bytes are read."""
-    file = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = file.getFileSystem(spark._jsc.hadoopConfiguration()).open(file)
-    head = [stream.read() for _ in range(3)]
-    stream.close()
-    return F.lit(head == [0xEF, 0xBB, 0xBF])
+    """Whether a file, or every part of a folder, begins with the mark; three bytes of each are read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = [place] if fs.getFileStatus(place).isFile() else [f.getPath() for f in fs.listStatus(place) if f.getPath().getName().startswith("part-")]
+    marked = bool(files)
+    for file in files:
+        stream = fs.open(file)
+        marked = marked and [stream.read() for _ in range(3)] == [0xEF, 0xBB, 0xBF]
+        stream.close()
+    return F.lit(marked)
 
 
 def catalogue_filter(rows: DataFrame, filters: dict[str, list[str]]) -> tuple[DataFrame, str]:
