@@ -146,19 +146,28 @@ def failure_windows(log: DataFrame, at: str, by: list[str], width: str = "1 hour
     return rows.groupBy(F.window(at, width), *by).agg(F.count("*").alias("n")).select(F.col("window.start").alias("starts_at"), *by, "n")
 
 
-LANE_EVENTS = "lane_id string, ts timestamp, event_id long, blocked boolean"
-LANE_STATES = "lane_id string, event_id long, ts timestamp, state string, blocks int"
+LANE_STATES = "lane_id string, event_id long, at long, state string, blocks int"  # at: microseconds of the epoch
+SECOND = 1_000_000
 
 
 class Lane:
-    """closed -> open after ``threshold`` blocks in a row -> half-open after the cooldown -> closed or open again."""
+    """closed -> open after ``threshold`` blocks in a row -> half-open after the cooldown -> closed or open again.
 
-    def __init__(self, threshold: int = 3, cooldown: float = 600.0, state: str = "closed", blocks: int = 0, opened: float = 0.0):
+    Times and the cooldown have one unit.
+    """
+
+    def __init__(self, threshold: int = 3, cooldown: float = 600, state: str = "closed", blocks: int = 0, opened: float = 0):
         self.threshold, self.cooldown, self.state, self.blocks, self.opened = threshold, cooldown, state, blocks, opened
 
+    def cools(self, until: float | None = None) -> bool:
+        """Whether the cooldown of an open lane ends by then (some day, without ``until``); if so the lane is half-open."""
+        if self.state != "open" or (until is not None and until - self.opened < self.cooldown):
+            return False
+        self.state = "half_open"
+        return True
+
     def take(self, at: float, blocked: bool) -> str:
-        if self.state == "open" and at - self.opened >= self.cooldown:
-            self.state = "half_open"
+        self.cools(at)
         if self.state == "open":
             return "refused"
         if not blocked:
@@ -170,50 +179,120 @@ class Lane:
         return self.state
 
 
-def lane_rows(lane: Lane, key: str, events: pd.DataFrame) -> pd.DataFrame:
-    events = events.sort_values(["ts", "event_id"])
-    out = [(key, e.event_id, e.ts, lane.take(e.ts.timestamp(), bool(e.blocked)), lane.blocks) for e in events.itertuples()]
-    return pd.DataFrame(out, columns=["lane_id", "event_id", "ts", "state", "blocks"])
+class LaneRows:
+    """Output rows of one lane after another, by column."""
+
+    def __init__(self, ends: bool):
+        self.ends, self.rows = ends, []
+
+    def cool(self, key: str, lane: Lane, until: int | None = None) -> None:
+        if lane.cools(until) and self.ends:
+            self.rows.append((key, None, lane.opened + lane.cooldown, "half_open", lane.blocks))
+
+    def take(self, key: str, lane: Lane, at: int, event_id: int, blocked: bool) -> None:
+        self.cool(key, lane, at)
+        self.rows.append((key, event_id, at, lane.take(at, blocked), lane.blocks))
+
+    def frame(self) -> pd.DataFrame:
+        out, self.rows = self.rows, []
+        columns = list(zip(*out)) if out else [()] * 5
+        kinds = {"lane_id": object, "event_id": "Int64", "at": "int64", "state": object, "blocks": "int32"}
+        return pd.DataFrame({c: pd.Series(x, dtype=k) for (c, k), x in zip(kinds.items(), columns)})
+
+
+def _lane_input(events: DataFrame, *more: str) -> DataFrame:
+    blocked = F.coalesce("blocked", F.lit(False)).alias("blocked")
+    return events.where("lane_id is not null and ts is not null").select("lane_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), "event_id", blocked, *more)
 
 
-def lane_history(events: DataFrame, threshold: int = 3, cooldown: float = 600.0) -> DataFrame:
-    """State after every event of each lane (batch); events arriving while a lane is open are refused."""
+def _lane_output(rows: DataFrame) -> DataFrame:
+    return rows.select("lane_id", "event_id", F.timestamp_micros("at").alias("ts"), "state", "blocks")
+
+
+def lane_history(events: DataFrame, threshold: int = 3, cooldown: float = 600.0, ends: bool = False) -> DataFrame:
+    """State after every event of each lane (batch): lane_id, event_id, ts, state, blocks.
+
+    events: lane_id, ts, event_id, blocked. Events arriving while a lane is open are refused;
+    events of one time count in the order of their ids. Rows without a lane or a time take no
+    part, a null ``blocked`` is false. With ``ends`` every end of a cooldown is a row of its own,
+    without an event_id. An empty table has no rows.
+    """
+    wait = round(cooldown * SECOND)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, lane = None, Lane(threshold, cooldown)
+        key, lane, out = None, Lane(threshold, wait), LaneRows(ends)
         for frame in frames:
-            out = []
             for e in frame.itertuples():
                 if e.lane_id != key:
-                    key, lane = e.lane_id, Lane(threshold, cooldown)
-                out.append((key, e.event_id, e.ts, lane.take(e.ts.timestamp(), bool(e.blocked)), lane.blocks))
-            yield pd.DataFrame(out, columns=["lane_id", "event_id", "ts", "state", "blocks"])
+                    out.cool(key, lane)
+                    key, lane = e.lane_id, Lane(threshold, wait)
+                out.take(key, lane, e.at, None if pd.isna(e.event_id) else e.event_id, e.blocked)
+            yield out.frame()
+        out.cool(key, lane)
+        yield out.frame()
 
     # lanes pass by in order, a batch of rows at a time; only the state of the current lane is kept
-    rows = events.select("lane_id", "ts", "event_id", "blocked").where("lane_id is not null")
-    return rows.repartition("lane_id").sortWithinPartitions("lane_id", "ts", "event_id").mapInPandas(run, LANE_STATES)
+    rows = _lane_input(events)
+    return _lane_output(rows.repartition("lane_id").sortWithinPartitions("lane_id", "at", "event_id", "blocked").mapInPandas(run, LANE_STATES))
 
 
 class LaneProcessor(StatefulProcessor):
-    """The same over a stream; needs the RocksDB state store."""
+    """Holds the events of a lane until the watermark has passed them, then takes them in order.
 
-    def __init__(self, threshold: int = 3, cooldown: float = 600.0):
-        self.threshold, self.cooldown = threshold, cooldown
+    A timer is set for the earliest event held and, while the lane is open, for the end of
+    its cooldown, so that the lane turns half-open without waiting for an event.
+    """
+
+    def __init__(self, threshold: int, wait: int, ends: bool):
+        self.threshold, self.wait, self.ends = threshold, wait, ends
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getValueState("lane", "state string, blocks int, opened double")
+        self.handle = handle
+        self.kept = handle.getValueState("lane", "state string, blocks int, opened long")
+        self.held = handle.getListState("held", "at long, event_id long, blocked boolean")
+
+    def wake(self, at: int) -> None:
+        self.handle.registerTimer(-(-at // 1000))  # the first millisecond that is not before it
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        was = self.kept.get() if self.kept.exists() else ("closed", 0, 0.0)
-        lane = Lane(self.threshold, self.cooldown, *was)
-        # order inside a micro-batch is not given: all rows of the key are sorted together
-        out = lane_rows(lane, key[0], pd.concat(list(rows)))
-        self.kept.update((lane.state, int(lane.blocks), float(lane.opened)))
-        yield out
+        for frame in rows:
+            ids = [None if pd.isna(x) else int(x) for x in frame["event_id"]]
+            self.held.appendList([(int(at), i, bool(b)) for at, i, b in zip(frame["at"], ids, frame["blocked"])])
+            self.wake(int(frame["at"].min()))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        held = list(self.held.get())
+        ready = sorted((x for x in held if x[0] <= passed), key=lambda x: (x[0], x[1] is not None, x[1] or 0, x[2]))
+        later = [x for x in held if x[0] > passed]
+        lane = Lane(self.threshold, self.wait, *(self.kept.get() if self.kept.exists() else ("closed", 0, 0)))
+        was, out = lane.state, LaneRows(self.ends)
+        for at, event_id, blocked in ready:
+            out.take(key[0], lane, at, event_id, blocked)
+        out.cool(key[0], lane, passed)
+        if ready:
+            if later:
+                self.held.put(later)
+                self.wake(min(later)[0])
+            else:
+                self.held.clear()
+        if ready or lane.state != was:
+            self.kept.update((lane.state, int(lane.blocks), int(lane.opened)))
+            if lane.state == "open":
+                self.wake(lane.opened + self.wait)
+        yield out.frame()
 
     def close(self) -> None:
         pass
 
 
-def lane_stream(events: DataFrame, threshold: int = 3, cooldown: float = 600.0) -> DataFrame:
-    return events.groupBy("lane_id").transformWithStateInPandas(LaneProcessor(threshold, cooldown), LANE_STATES, "Append", "None")
+def lane_stream(events: DataFrame, threshold: int = 3, cooldown: float = 600.0, late: str = "10 minutes", ends: bool = False) -> DataFrame:
+    """``lane_history`` over a stream, in event time; needs the RocksDB state store.
+
+    An event leaves once the watermark (``late`` behind the latest event of any lane) has passed
+    it, so rows may arrive in any order within ``late``; later ones are dropped.
+    """
+    rows = _lane_input(events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late), "ts")
+    processor = LaneProcessor(threshold, round(cooldown * SECOND), ends)
+    return _lane_output(rows.groupBy("lane_id").transformWithStateInPandas(processor, LANE_STATES, "Append", "EventTime"))

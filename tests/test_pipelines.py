@@ -227,17 +227,43 @@ def test_lane_states():
     assert [lane.take(t, b) for t, b in [(0, True), (1, False), (2, True), (3, True), (5, False), (13, True), (14, False), (23, False), (24, True)]] == ["closed", "closed", "closed", "open", "refused", "open", "refused", "closed", "closed"]
 
 
-def test_lane_stream_equals_batch(spark, sf_dir, tmp_path):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").cast("string").alias("lane_id"), F.col("ts").cast("timestamp").alias("ts"), "event_id", (F.col("event_type") == "error").alias("blocked"))
-    events.where("event_id < 500").repartition(1).write.parquet(str(tmp_path / "in"))
-    events.where("event_id >= 500").repartition(1).write.mode("append").parquet(str(tmp_path / "in"))
+LANES = "lane_id string, ts timestamp, event_id long, blocked boolean"
+
+
+def lane_events(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.select(F.col("user_id").cast("string").alias("lane_id"), F.col("ts").cast("timestamp").alias("ts"), "event_id", (F.col("event_type") == "error").alias("blocked"))
+
+
+def run_lanes(spark, folder, name, late):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    stream = K.lane_stream(spark.readStream.schema(events.schema).parquet(str(tmp_path / "in")), 2, 7200.0)
-    q = stream.writeStream.format("memory").queryName("lanes").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    arriving = spark.readStream.schema(LANES).option("maxFilesPerTrigger", 1).parquet(str(folder / "in/*"))
+    q = K.lane_stream(arriving, 2, 7200.0, late, ends=True).writeStream.format("memory").queryName(name).option("checkpointLocation", str(folder / "c")).trigger(availableNow=True).start()
     q.awaitTermination()
-    batch = K.lane_history(events, 2, 7200.0)
-    assert spark.table("lanes").count() == batch.count()
-    assert spark.table("lanes").exceptAll(batch).count() == 0
+    return spark.table(name)
+
+
+def test_shuffled_lane_stream_equals_batch(spark, sf_dir, tmp_path):
+    """Rows of all times in every micro-batch; an event far ahead lets the watermark pass them."""
+    events = lane_events(spark, sf_dir)
+    for i in range(3):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == i).repartition(1).write.parquet(str(tmp_path / f"in/{i}"))
+    spark.createDataFrame([("ahead", dt.datetime(2099, 1, 1), 0, False)], LANES).repartition(1).write.parquet(str(tmp_path / "in/9"))
+    stream = run_lanes(spark, tmp_path, "lanes", "400 days").where("lane_id <> 'ahead'")
+    batch = K.lane_history(events, 2, 7200.0, ends=True)
+    assert batch.where("event_id is null").count() > 0
+    assert sorted(map(repr, stream.collect())) == sorted(map(repr, batch.collect()))
+
+
+def test_lane_cools_without_an_event(spark, tmp_path):
+    at = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
+    files = [[("a", at(1), 1, True), ("a", at(0, 50), 2, True)], [("b", at(2), 3, False), ("a", None, 4, True), (None, at(1), 5, True)], [("b", at(5), 6, None)], [("a", at(1), 7, False), ("b", at(6), 8, True)]]
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, LANES).repartition(1).write.parquet(str(tmp_path / f"in/{i}"))
+    got = run_lanes(spark, tmp_path, "cooled", "30 minutes").where("lane_id = 'a'").orderBy("ts").collect()
+    # the lane opens with its second block at 1:00; the watermark passes 3:00 without an event of the lane, and 7 comes too late
+    assert [(r.event_id, r.ts, r.state, r.blocks) for r in got] == [(2, at(0, 50), "closed", 1), (1, at(1), "open", 2), (None, at(3), "half_open", 2)]
+    assert K.lane_history(spark.createDataFrame([], LANES)).count() == 0
 
 
 def test_duplicates_in_a_stream(spark, sf_dir, tmp_path):
