@@ -233,14 +233,14 @@ def lanes(t):
 
 @query(
     "k6_lane_history",
-    """WITH RECURSIVE e AS MATERIALIZED (SELECT CAST(user_id AS VARCHAR) AS lane_id, epoch_us(ts) AS at, event_id, coalesce(event_type = 'error', false) AS blocked,
+    """WITH RECURSIVE e AS MATERIALIZED (SELECT CAST(user_id AS VARCHAR) AS lane_id, epoch_us(ts) AS us, event_id, coalesce(event_type = 'error', false) AS blocked,
       row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
     s AS (SELECT DISTINCT lane_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS event_id, 'closed' AS kept, 'closed' AS state, CAST(0 AS INTEGER) AS blocks, CAST(0 AS BIGINT) AS opened FROM e
       UNION ALL SELECT lane_id, n, event_id, CASE WHEN was = 'open' THEN 'open' WHEN NOT blocked THEN 'closed' WHEN opens THEN 'open' ELSE was END,
         CASE WHEN was = 'open' THEN 'refused' WHEN NOT blocked THEN 'closed' WHEN opens THEN 'open' ELSE was END,
-        CASE WHEN was = 'open' THEN blocks WHEN NOT blocked THEN 0 ELSE blocks + 1 END, CASE WHEN was <> 'open' AND blocked AND opens THEN at ELSE opened END
+        CASE WHEN was = 'open' THEN blocks WHEN NOT blocked THEN 0 ELSE blocks + 1 END, CASE WHEN was <> 'open' AND blocked AND opens THEN us ELSE opened END
       FROM (SELECT *, was = 'half_open' OR blocks + 1 >= 2 AS opens FROM
-        (SELECT e.*, s.blocks, s.opened, CASE WHEN s.kept = 'open' AND e.at - s.opened >= 7200000000 THEN 'half_open' ELSE s.kept END AS was FROM s JOIN e ON e.lane_id = s.lane_id AND e.n = s.n + 1)))
+        (SELECT e.*, s.blocks, s.opened, CASE WHEN s.kept = 'open' AND e.us - s.opened >= 7200000000 THEN 'half_open' ELSE s.kept END AS was FROM s JOIN e ON e.lane_id = s.lane_id AND e.n = s.n + 1)))
     SELECT lane_id, event_id, state, blocks FROM s WHERE n > 0""",
 )
 def lane_history(t):
