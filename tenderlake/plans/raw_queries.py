@@ -286,7 +286,7 @@ def detail_entities(t):
             F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T00:00:00Z")).alias("endDateTime"),
         )
     )
-    rows = C.detail_entities(t.lineitem.select(body.alias("body")), "body", "lot", "https://portal.example")
+    rows = C.detail_entities(t.spread(t.lineitem, "l_orderkey").select(body.alias("body")), "body", "lot", "https://portal.example")
     text = lambda x: F.col(x).cast("string").alias(x.split(".")[-1])
     return rows.select("source_entity_id", "status", text("quantity"), text("total_amount"), "currency", F.col("customer.source_entity_id").alias("customer_id"), text("payment_terms.prepayment_percent"), F.date_format("application_end_at", "yyyy-MM-dd").alias("ends"))
 

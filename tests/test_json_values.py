@@ -48,3 +48,20 @@ def test_deep_documents_are_walked_and_searched(spark):
     docs = spark.createDataFrame([("a", deep), ("b", twice), ("c", beyond), ("d", None)], "key string, body string").coalesce(1)
     assert {r.key: r.n for r in C.walk(docs, "key", "body").groupBy("key").count().withColumnRenamed("count", "n").collect()} == {"a": 1201, "b": 2201}
     assert {r.key: r.source_entity_id for r in C.discovered_items(docs, "body", "lot", "https://portal.example").collect()} == {"a": "1", "b": "2"}
+
+
+def test_numbers_keep_their_digits_from_list_to_entity(spark):
+    """Through the list, the item's text, the entity's columns and its places."""
+    from tenderlake.operators import json_docs as C
+
+    lot = '{"id":5,"totalSum":12345678901234567.891234,"price":"1 234,50","quantity":2.50,"deliveryPlaces":[{"id":1,"quantity":98765432109876543.210987}],"count":null}'
+    lists = spark.createDataFrame([("n", f'{{"data":{{"content":[{lot}]}}}}'), ("broken", '{"content":[{"id":1}'), ("twice", '{"content":[{"id":1,"id":6,"sum":7}]}')], "notice string, body string").coalesce(1)
+    found = C.attach_lots(lists, "notice", "body", "https://portal.example")
+    rows = {r.source_entity_id: r for r in C.detail_entities(found.select("source_payload"), "source_payload", "lot", "https://portal.example").collect()}
+    assert set(rows) == {"5", "6"}
+    assert [str(x) for x in (rows["5"].total_amount, rows["5"].unit_price, rows["5"].quantity, rows["5"].delivery_places[0].quantity)] == ["12345678901234567.891234", "1234.500000", "2.500000", "98765432109876543.210987"]
+    assert "12345678901234567.891234" in rows["5"].source_payload and str(rows["6"].total_amount) == "7.000000"
+    walked = [r.object for r in C.walk(lists, "notice", "body").where("key = 'n' and pos = 2").collect()]
+    assert "12345678901234567.891234" in walked[0] and json.loads(walked[0])["id"] == 5
+    odd = spark.createDataFrame([(None,), ("",), ("[1]",), ("{}",), ('{"id":',)], "body string").coalesce(1)
+    assert C.detail_entities(odd, "body", "lot", "https://portal.example").count() == 0
