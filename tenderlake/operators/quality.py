@@ -64,3 +64,31 @@ def csv_report(cells: DataFrame, columns: list[str], identity: list[str], broken
         return sums.withColumn("duplicate_identity_rows", F.lit(0)).withColumn("empty_identity_rows", F.lit(0))
     trimmed = cells.select(*[F.trim(c).alias(c) for c in identity])
     return sums.crossJoin(duplicate_rows(trimmed, identity).drop("rows"))  # of one row each
+
+
+def csv_reports(cells: DataFrame) -> DataFrame:
+    """``csv_report`` of many files in one job, a row per file that has rows.
+
+    cells: file, broken, cells (array), identity (array of the cells that identify a row; null if
+    the dataset has none). Copies of a key are counted before they meet.
+    """
+    text = F.array_join("cells", "\n", "")
+    trimmed = F.transform("identity", lambda c: F.coalesce(F.trim(c), F.lit("")))
+    measured = cells.select(
+        "file",
+        F.when(~F.exists(trimmed, lambda c: c == ""), trimmed).alias("key"),
+        F.col("identity").isNotNull().alias("_identified"),
+        F.col("broken").cast("long").alias("broken"),
+        (F.length(text) - F.length(F.replace(text, F.lit("\ufffd"), F.lit("")))).alias("lost"),
+        F.size(F.filter("cells", lambda c: F.coalesce(scalars.is_formula(c), F.lit(False)))).alias("formulas"),
+    )
+    sums = [F.sum(c).alias(c) for c in ("broken", "lost", "formulas")]
+    per_key = measured.groupBy("file", "key", "_identified").agg(F.count("*").alias("n"), *sums)
+    return per_key.groupBy("file").agg(
+        F.sum("n").alias("rows"),
+        F.sum("broken").alias("malformed_rows"),
+        F.sum("lost").alias("replacement_characters"),
+        F.sum("formulas").alias("formula_like_cells"),
+        F.coalesce(F.sum(F.when(F.col("key").isNotNull(), F.col("n") - 1)), F.lit(0)).alias("duplicate_identity_rows"),
+        F.coalesce(F.sum(F.when(F.col("_identified") & F.col("key").isNull(), F.col("n"))), F.lit(0)).alias("empty_identity_rows"),
+    )

@@ -1,5 +1,8 @@
 """Sources, page and JSON parsing, and batch twins of the streams on the driver's tables, with their SQL where it can follow."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderlake.functions import scalars as S
@@ -43,6 +46,22 @@ def rows_per_source(t):
     return projected(rows, "notices").withColumnRenamed("﻿source", "source").groupBy("source").agg(F.count("*").alias("rows"))
 
 
+@query(
+    "a7_layouts",
+    """WITH n AS (SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'portal_a' ELSE 'portal_b' END AS source, CAST(o_orderkey AS VARCHAR) AS id FROM orders),
+    files AS (SELECT 'combined' AS part, 'notices' AS file, * FROM n UNION ALL SELECT source, 'notices_' || source, * FROM n)
+    SELECT layout, part, file, source, id FROM files JOIN (VALUES ('combined'), ('split'), ('both')) AS l(layout) ON layout = 'both' OR (layout = 'combined') = (part = 'combined')""",
+)
+def layouts(t):
+    """Every row of every file that the three layouts write."""
+    from tenderlake.sources import csv_export as X
+
+    rows = t.notice().select("source", "source_entity_id", "status", "priority", "total_amount")
+    files = [(layout, *file) for layout in X.LAYOUTS for file in X.laid_out(rows, "notices", layout, ("portal_a", "portal_b"))]
+    cells = [X.projected(own, "notices").select(F.lit(layout).alias("layout"), F.lit(part).alias("part"), F.lit(name).alias("file"), F.col("\ufeffsource").alias("source"), F.col("source_entity_id").alias("id")) for layout, part, name, own in files]
+    return reduce(DataFrame.union, cells)
+
+
 @query("a5_export_notices", "SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'portal_a' ELSE 'portal_b' END AS source, CAST(o_orderkey AS VARCHAR) AS source_entity_id, o_orderstatus AS status, CAST(CAST(o_totalprice AS DECIMAL(24,6)) AS VARCHAR) AS total_amount, CAST(NULL AS VARCHAR) AS title_ru FROM orders")
 def export_notices(t):
     from tenderlake.sources.csv_export import projected

@@ -1,6 +1,10 @@
 """Sources: raw pages, raw JSON, replay records, operational logs, CSV files; batch readers and their stream twins."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import csv
+import re
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake.operators.json_docs import wrap
@@ -67,17 +71,59 @@ def csv_rows(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
     return reader.schema(schema).option("enforceSchema", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken").csv(path), names
 
 
-def has_bom(spark: SparkSession, path: str) -> Column:
-    """Whether a file, or every part of a folder, begins with the mark; three bytes of each are read."""
+HEAD_BYTES = 1 << 20  #: within which a header line must end
+
+
+@dataclass(frozen=True)
+class CsvHead:
+    """What the first line of a CSV file tells: the mark before it, its delimiter and the columns (none in an empty file)."""
+
+    path: str
+    uri: str  #: the path with its signs escaped
+    bom: bool
+    delimiter: str
+    names: tuple[str, ...]
+
+
+def csv_heads(spark: SparkSession, path: str) -> list[CsvHead]:
+    """Heads of a file, or of every part of a folder; only the first line is read."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    files = [place] if fs.getFileStatus(place).isFile() else [f.getPath() for f in fs.listStatus(place) if f.getPath().getName().startswith("part-")]
-    marked = bool(files)
-    for file in files:
-        stream = fs.open(file)
-        marked = marked and [stream.read() for _ in range(3)] == [0xEF, 0xBB, 0xBF]
+    parts = [place] if fs.getFileStatus(place).isFile() else sorted((f.getPath() for f in fs.listStatus(place) if f.getPath().getName().startswith("part-")), key=str)
+    return [_csv_head(fs, part) for part in parts]
+
+
+def _csv_head(fs, place) -> CsvHead:
+    stream, data, size = fs.open(place), b"", 1 << 14
+    try:
+        while size <= HEAD_BYTES and b"\n" not in data:
+            more = bytes(stream.readNBytes(size))
+            data, size = data + more, size * 4
+            if not more:
+                break
+    finally:
         stream.close()
-    return F.lit(marked)
+    line = data.split(b"\n")[0].decode("utf-8", "replace").rstrip("\r")
+    delimiter = ";" if line.count(";") > line.count(",") else ","
+    names = next(csv.reader([line.lstrip("\ufeff")], delimiter=delimiter), [])
+    return CsvHead(str(place), fs.makeQualified(place).toUri().toString(), data[:3] == b"\xef\xbb\xbf", delimiter, tuple(names))
+
+
+SCHEME = "^[a-zA-Z0-9+.-]+:/*"
+
+
+def place_of(uri: str) -> str:
+    """An address without its scheme, whose slashes readers write differently."""
+    return re.sub(SCHEME, "/", uri)
+
+
+def csv_cells(spark: SparkSession, files: list[str], delimiter: str, names: tuple[str, ...]) -> DataFrame:
+    """Cells of CSV files of one header as an array, with ``place`` (see ``place_of``) and ``broken`` (rows of a different width)."""
+    columns = [f"c{i}" for i in range(len(names))]  # headers may repeat a name
+    schema = ", ".join(f"{c} string" for c in columns) + ", _broken string"
+    reader = spark.read.option("header", True).option("sep", delimiter).option("multiLine", True).option("quote", '"').option("escape", '"')
+    rows = reader.option("enforceSchema", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken").schema(schema).csv(files)
+    return rows.select(F.regexp_replace("_metadata.file_path", SCHEME, "/").alias("place"), F.col("_broken").isNotNull().alias("broken"), F.array(*columns).alias("cells"))
 
 
 def catalogue_filter(rows: DataFrame, filters: dict[str, list[str]]) -> tuple[DataFrame, str]:
