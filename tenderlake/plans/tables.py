@@ -5,6 +5,8 @@ items are parts, organizations are customers and suppliers, logs are events. The
 source follows the parity of the key. Both forms name and type columns alike.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +65,11 @@ class Tables:
             F.col("l_extendedprice").cast("decimal(24,6)").alias("total_amount"),
         )
 
+    def lot_keys(self) -> DataFrame:
+        """Registry of the lots: each key once, without the window that finds its latest row."""
+        once = self.lineitem.select("l_orderkey", "l_linenumber").distinct()
+        return once.select(source_of("l_orderkey").alias("source"), F.lit("lot").alias("entity_type"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("source_entity_id"), "l_orderkey")
+
     def plan_item(self) -> DataFrame:
         return self.part.select(
             source_of("p_partkey").alias("source"),
@@ -75,19 +82,19 @@ class Tables:
 
     def edges(self) -> DataFrame:
         """parent and child ids by relation; each once."""
-        lot = self.lot()
-        text = lambda c: F.col(c).cast("string")
-        pairs = [
-            lot.select(F.lit("notice_to_lot").alias("relation_type"), text("l_orderkey").alias("parent_id"), F.col("source_entity_id").alias("child_id")),
-            lot.select(F.lit("plan_to_lot"), text("l_partkey"), "source_entity_id"),
-            lot.select(F.lit("plan_to_notice"), text("l_partkey"), text("l_orderkey")),
-            lot.select(F.lit("organizer"), "source_entity_id", text("l_suppkey")),
-            self.orders.select(F.lit("customer"), text("o_orderkey"), text("o_custkey")),
-        ]
-        out = pairs[0]
-        for p in pairs[1:]:
-            out = out.union(p)
-        return out.distinct()
+        lot, text = self.lot(), lambda c: F.col(c).cast("string")
+        pair = lambda rows, kind, parent, child: rows.select(F.lit(kind).alias("relation_type"), text(parent).alias("parent_id"), text(child).alias("child_id"))
+        plans = lot.select("l_partkey", "l_orderkey").distinct()  # the other relations have each pair once as they are
+        return reduce(
+            DataFrame.union,
+            [
+                pair(self.lot_keys(), "notice_to_lot", "l_orderkey", "source_entity_id"),
+                pair(lot, "plan_to_lot", "l_partkey", "source_entity_id"),
+                pair(plans, "plan_to_notice", "l_partkey", "l_orderkey"),
+                pair(lot, "organizer", "source_entity_id", "l_suppkey"),
+                pair(self.orders, "customer", "o_orderkey", "o_custkey").distinct(),
+            ],
+        )
 
 
 SQL = f"""

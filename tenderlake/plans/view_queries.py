@@ -36,7 +36,7 @@ LOCAL = "AT TIME ZONE 'UTC' AT TIME ZONE 'Asia/Almaty'"
 def export_lots(t):
     registry = t.notice().select(F.col("o_orderkey").alias("l_orderkey"), "priority", "published_at")
     lots = t.lot().join(registry, "l_orderkey")
-    view = V.procurement_view(lots, t.lot().select(*V.KEY), ("published_at", "closes_at"))
+    view = V.procurement_view(lots, t.lot_keys().select(*V.KEY), ("published_at", "closes_at"))
     return view.select("source", "source_entity_id", "status", "priority", F.col("quantity").cast("string").alias("quantity"), F.col("total_amount").cast("string").alias("total_amount"), stamp("published_at").alias("published_at"), stamp("published_at_local").alias("published_at_local"), stamp("closes_at_local").alias("closes_at_local"), "source_timezone")
 
 
@@ -81,7 +81,7 @@ ENDS = {"notice_to_lot": ("notice", "lot"), "plan_to_lot": ("plan_item", "lot"),
 def export_relations(t):
     organization = lambda key: (source_of(key).alias("source"), F.lit("organization").alias("entity_type"), F.col(key).cast("string").alias("source_entity_id"))
     organizations = t.customer.select(*organization("c_custkey")).union(t.supplier.select(*organization("s_suppkey"))).distinct()
-    registry = t.notice().select(*V.KEY).union(t.lot().select(*V.KEY)).union(t.plan_item().select(*V.KEY)).union(organizations)
+    registry = t.notice().select(*V.KEY).union(t.lot_keys().select(*V.KEY)).union(t.plan_item().select(*V.KEY)).union(organizations)
     registry = registry.withColumn("key", F.concat_ws(":", "entity_type", "source_entity_id"))
     end = lambda i, key: F.concat_ws(":", F.create_map(*[F.lit(x) for kind, ends in ENDS.items() for x in (kind, ends[i])])[F.col("relation_type")], key)
     edges = t.edges().select("relation_type", end(0, "parent_id").alias("parent"), end(1, "child_id").alias("child"))
@@ -92,7 +92,7 @@ def export_relations(t):
 def export_delivery_places(t):
     places = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_suppkey").cast("string").alias("source_row_id"), F.col("n_name").alias("country"), F.col("s_name").alias("address"))
     children = t.lot().join(places, "l_suppkey").select(*V.KEY, "source_row_id", "country", "address", F.col("quantity").cast("string").alias("quantity"))
-    return V.owned_view(children, t.lot().select(*V.KEY))
+    return V.owned_view(children, t.lot_keys().select(*V.KEY))
 
 
 @query("f7_export_payment_terms", "SELECT source, entity_type, source_entity_id, CAST(CAST(l_discount * 100 AS DECIMAL(8,3)) AS VARCHAR) AS prepayment_percent, CAST(CAST(l_tax * 100 AS DECIMAL(8,3)) AS VARCHAR) AS final_percent FROM v_lot JOIN (SELECT l_orderkey, l_linenumber, min(l_discount) AS l_discount, max(l_tax) AS l_tax FROM lineitem GROUP BY ALL) USING (l_orderkey, l_linenumber)")
@@ -100,7 +100,7 @@ def export_payment_terms(t):
     percent = lambda c: (c * 100).cast("decimal(8,3)").cast("string")
     terms = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(percent(F.min("l_discount")).alias("prepayment_percent"), percent(F.max("l_tax")).alias("final_percent"))
     children = terms.select(source_of("l_orderkey").alias("source"), F.lit("lot").alias("entity_type"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("source_entity_id"), "prepayment_percent", "final_percent")
-    return V.owned_view(children, t.lot().select(*V.KEY))
+    return V.owned_view(children, t.lot_keys().select(*V.KEY))
 
 
 @query("f8_export_documents", "SELECT d.source, 'document' AS entity_type, CAST(d.doc_id AS VARCHAR) AS source_entity_id, d.lang AS category, d.n_chars AS size_bytes, sha256(d.text) AS document_hash, l.quality FROM documents d JOIN labels l USING (doc_id)", views=False)
