@@ -104,11 +104,11 @@ v_lot AS MATERIALIZED (SELECT CASE WHEN l_orderkey % 2 = 0 THEN 'portal_a' ELSE
   l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag AS status, l_shipdate AS closes_at, CAST(l_quantity AS DECIMAL(24,6)) AS quantity, CAST(l_extendedprice AS DECIMAL(24,6)) AS total_amount
   FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey, l_suppkey, l_extendedprice) AS rn FROM lineitem) WHERE rn = 1),
 v_plan AS (SELECT CASE WHEN p_partkey % 2 = 0 THEN 'portal_a' ELSE 'portal_b' END AS source, 'plan_item' AS entity_type, CAST(p_partkey AS VARCHAR) AS source_entity_id, p_partkey, p_name AS title, p_type AS status FROM part),
-v_edge AS MATERIALIZED (SELECT 'notice_to_lot' AS relation_type, CAST(l_orderkey AS VARCHAR) AS parent_id, source_entity_id AS child_id FROM v_lot
-  UNION SELECT 'plan_to_lot', CAST(l_partkey AS VARCHAR), source_entity_id FROM v_lot
-  UNION SELECT 'plan_to_notice', CAST(l_partkey AS VARCHAR), CAST(l_orderkey AS VARCHAR) FROM v_lot
-  UNION SELECT 'organizer', source_entity_id, CAST(l_suppkey AS VARCHAR) FROM v_lot
-  UNION SELECT 'customer', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR) FROM orders)
+v_edge AS (SELECT 'notice_to_lot' AS relation_type, CAST(l_orderkey AS VARCHAR) AS parent_id, source_entity_id AS child_id FROM v_lot
+  UNION ALL SELECT 'plan_to_lot', CAST(l_partkey AS VARCHAR), source_entity_id FROM v_lot
+  UNION ALL SELECT 'plan_to_notice', CAST(l_partkey AS VARCHAR), CAST(l_orderkey AS VARCHAR) FROM (SELECT DISTINCT l_partkey, l_orderkey FROM v_lot)
+  UNION ALL SELECT 'organizer', source_entity_id, CAST(l_suppkey AS VARCHAR) FROM v_lot
+  UNION ALL SELECT DISTINCT 'customer', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR) FROM orders)
 """
 
 
