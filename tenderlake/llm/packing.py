@@ -171,7 +171,7 @@ def pack(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str
         for batch in batches:
             rows, ids = [], iter(batch.column("doc_id").to_pylist())
             for part in portions(batch, "text"):
-                for doc, data in zip(ids, own.encode(part)):
+                for data, doc in zip(own.encode(part), ids):  # ids last: zip takes one more of what comes first
                     data += end
                     total = len(data) // 4
                     rows += [(doc, i, n, zlib.crc32(data[4 * i : 4 * (i + n)]), total) for i, n in cut(total, capacity, piece)]

@@ -14,6 +14,7 @@ ids are packed as documents of their own. Texts of any length are encoded whole.
 
 import bisect
 import os
+import re
 import zlib
 from collections import Counter
 
@@ -32,6 +33,7 @@ from tenderlake.llm.token_counts import portions
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 MERGED = 64  #: groups whose emptiest windows are packed again together
 OPENED = 32  #: windows that a group opens again at most
+BLANKS = re.compile(r"\s{2048}")
 
 
 class ByteEncoder:
@@ -40,7 +42,8 @@ class ByteEncoder:
     Encoding by ranks is several times as fast. Its tokens are the library's if all
     neighbours inside a pretoken can stand side by side (``merges``), which is looked up
     for the pairs of a text together; a text that has another pair, or a word so long that
-    ranks are slow, or a file with other settings goes to the library itself.
+    ranks are slow, or white space so long that their pattern fails, or a file with other
+    settings goes to the library itself.
     """
 
     LONG = 2048  #: characters of a word
@@ -76,7 +79,7 @@ class ByteEncoder:
                 parts = self.splitter.split(text)
                 found = iter(self.encode(parts[::2]))
                 out.append(np.concatenate([np.array([self.special[p]], np.uint32) if i % 2 else next(found) for i, p in enumerate(parts)]))
-            elif self.ranks is None or len(text) > self.LONG and max(map(len, text.split(" "))) > self.LONG:
+            elif self.ranks is None or len(text) > self.LONG and (max(map(len, text.split(" "))) > self.LONG or BLANKS.search(text)):
                 out.append(self.whole(text))
             else:
                 out.append(np.array(self.ranks.encode_ordinary(text), np.uint32))
@@ -188,7 +191,7 @@ def best_fit(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col:
         for batch in batches:
             rows, ids = [], iter(batch.column("doc_id").to_pylist())
             for part in portions(batch, "text"):
-                for doc, found in zip(ids, own.encode(part)):
+                for found, doc in zip(own.encode(part), ids):  # ids last: zip takes one more of what comes first
                     data = np.append(found, end).astype("<u4").tobytes()
                     for piece, (i, n) in enumerate(cut(len(data) // 4, capacity)):
                         row = (doc, piece, i, n, zlib.crc32(data[4 * i : 4 * (i + n)]))

@@ -128,6 +128,12 @@ def test_best_fit_of_the_table(spark, sf_dir):
     assert bins <= 1.02 * -(-tokens // 1024) + 1
 
 
+def test_best_fit_of_a_batch_that_is_encoded_in_portions(spark):
+    docs = [(i, f"{i} lot " * (70_000 + i)) for i in range(8)] + [(8, "tail"), (9, " \n" * 1_500_000 + "x")]
+    rows = P.best_fit(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), public_tokenizers.path("byte_bpe_50k.json")).collect()
+    check_windows(rows, docs, 1024)
+
+
 def test_best_fit_of_nothing(spark):
     assert P.best_fit(spark.createDataFrame([], "doc_id long, text string"), public_tokenizers.path("byte_bpe_50k.json")).collect() == []
 

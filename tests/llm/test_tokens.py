@@ -199,6 +199,13 @@ def test_packing(spark):
     assert len(by_sequence) <= sum(map(len, ids.values())) / 256 * 1.05 + 4
 
 
+def test_packing_of_a_batch_that_is_encoded_in_portions(spark):
+    lib, values = library("word_bpe_49k.json"), [f"{i} lot " * (70_000 + i) for i in range(8)] + ["tail"]
+    docs = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string").coalesce(1)
+    rows = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).select("doc_id", "doc_tokens").distinct().collect()
+    assert sorted(map(tuple, rows)) == [(i, len(lib.encode(t, add_special_tokens=False).ids) + 1) for i, t in enumerate(values)]
+
+
 def test_differencing_is_even():
     r = random.Random(8)
     lengths = [r.randint(1, 500) for _ in range(400)]
