@@ -1,12 +1,17 @@
 """HTML pages to rows: one parse job over raw pages, then column and join work.
 
 The job (``parse_pages``) turns each page into its title, detail fields, tables,
-links and visible text with the standard library's parser inside ``mapInArrow``;
-everything after it is DataFrame code. Tag closing follows what browsers do for
+links and visible text inside ``mapInArrow``; everything after it is DataFrame code.
+Plain markup is split at its tags, each distinct tag read once; a page that has anything
+else goes to the standard library's parser, which calls the same handlers. Tag closing follows what browsers do for
 rows and cells: a new row or cell ends the open one, and rows may stand directly
 under a table.
 """
 
+import html as references
+import re
+from functools import lru_cache
+from html import parser
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -55,6 +60,29 @@ ROW = f"struct<row_id:string,cells:array<string>,links:array<struct<cell:int,hre
 SCHEMA = f"page_id long, title string, heading string, stats string, text string, fields map<string,string>, field_links map<string,string>, tables array<struct<heading:string,headers:array<string>,in_grid:boolean,rows:array<{ROW}>>>, links array<{LINK}>"
 
 
+# what every version of the standard parser reads alike, between < and >: tags with quoted attributes, comments, document types
+TAG = re.compile(r"""(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[ \t\n]+[a-zA-Z][a-zA-Z0-9_:-]*=(?:"[^"]*"|'[^']*'))*)[ \t\n]*(/?)""")
+UNSEEN = re.compile(r"!--(?!-?$)(?>[^-]+|-(?!-))*+--|!(?i:doctype)[ \t\n][^\[]*")
+ATTRIBUTE = re.compile(r"""([a-zA-Z][a-zA-Z0-9_:-]*)=(?:"([^"]*)"|'([^']*)')""")
+RAW = {"script", "style"}
+VALUE = getattr(parser, "_unescape_attrvalue", None) or references.unescape
+CELLS, ROWS, BODIES, TABLE, ROW_END = {"td", "th"}, {"tr"}, {"tbody", "thead", "tr"}, {"table"}, {"tr", "table"}
+COLLECTED = {"td", "th", "h1", "h2", "h3", "h4", "title", "a"}
+
+
+@lru_cache(1 << 12)
+def _tag(inside: str) -> tuple[str, str, dict] | None:
+    """What stands between < and >: / for an end tag, > for a tag that ends itself, ! for nothing to see; its name and attributes."""
+    found = TAG.fullmatch(inside)
+    if not found:
+        return ("!", "", {}) if UNSEEN.fullmatch(inside) else None
+    end, tag, attributes, own_end = found.groups()
+    if end:
+        return None if attributes or own_end else ("/", tag.lower(), {})
+    pairs = ((k.lower(), v or w) for k, v, w in ATTRIBUTE.findall(attributes))
+    return ">" if own_end else "", tag.lower(), {k: VALUE(v) if "&" in v else v for k, v in pairs}
+
+
 class _Page(HTMLParser):
     """Collects what ``parse_pages`` returns; text inside script and style is not visible."""
 
@@ -76,18 +104,60 @@ class _Page(HTMLParser):
     def clean(parts):
         return " ".join(" ".join(parts).replace("\xa0", " ").split()) or None
 
+    def plain(self, text: str) -> bool:
+        """Reads a page of plain markup; of another one nothing is to be kept."""
+        parts, raw, unescape = text.split("<"), None, references.unescape
+        start, finish, rest, data = self.start, self.finish, self.open, self.handle_data
+        if parts[0]:
+            data(unescape(parts[0]))
+        for i in range(1, len(parts)):
+            inside, closed, words = parts[i].partition(">")
+            if raw:  # up to its end tag; what lies between is not visible
+                if inside[:1] not in ("/", "!"):
+                    continue
+                kind = _tag(inside)
+                if not closed or not kind or not kind[0]:
+                    return False
+                if inside.rstrip(" \t\n") != "/" + raw:
+                    if kind[1] in RAW:
+                        return False
+                    continue
+                raw = None
+            else:
+                kind = _tag(inside) if closed else None
+                if not kind:
+                    return False
+            mark, tag, a = kind
+            if mark == "/":
+                if rest and rest[-1][0] == tag:
+                    finish(*rest.pop())
+                else:
+                    self.handle_endtag(tag)
+            elif mark != "!":
+                start(tag, a)
+                if mark == ">":
+                    self.handle_endtag(tag)
+                elif tag in RAW:
+                    raw = tag
+                    continue
+            if words:
+                data(unescape(words) if "&" in words else words)
+        return not raw
+
     def handle_starttag(self, tag, attributes):
-        a = {k: v or "" for k, v in attributes}
-        if tag in ("script", "style"):
+        self.start(tag, {k: v or "" for k, v in attributes})
+
+    def start(self, tag, a):
+        if tag in RAW:
             self.hidden += 1
             self.open.append((tag, None, a))
             return
-        if tag in ("td", "th"):
-            self.close_to({"td", "th"}, {"tr", "table"})
+        if tag in CELLS:
+            self.close_to(CELLS, ROW_END)
         elif tag == "tr":
-            self.close_to({"tr"}, {"table"})
+            self.close_to(ROWS, TABLE)
         elif tag in ("tbody", "thead"):
-            self.close_to({"tbody", "thead", "tr"}, {"table"})
+            self.close_to(BODIES, TABLE)
         node = None
         if tag == "table":
             grid = any("grid-view" in x[2].get("class", "").split() for x in self.open)
@@ -95,7 +165,7 @@ class _Page(HTMLParser):
             self.tables.append(node)
         elif tag == "tr" and self.table():
             node = {"row_id": a.get("data-key"), "cells": [], "links": [], "heads": [], "head": any(x[0] == "thead" for x in self.open)}
-        elif tag in ("td", "th", "h1", "h2", "h3", "h4", "title", "a") or "stats" in a.get("class", "").split():
+        elif tag in COLLECTED or a and "stats" in a.get("class", "").split():
             node = {"sink": self.sink(), "links": []}
         if tag not in VOID:
             self.headers += tag in ("title", "head")
@@ -106,28 +176,41 @@ class _Page(HTMLParser):
 
     def close_to(self, tags, barrier):
         """Close the innermost open element of the tags, and what is inside it, unless a barrier comes first."""
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] in tags:
-                while len(self.open) > i:
-                    self.finish(*self.open.pop())
+        rest = self.open
+        for i in range(len(rest) - 1, -1, -1):
+            tag = rest[i][0]
+            if tag in tags:
+                while len(rest) > i:
+                    self.finish(*rest.pop())
                 return
-            if self.open[i][0] in barrier:
+            if tag in barrier:
                 return
 
     def table(self):
-        return next((x[1] for x in reversed(self.open) if x[0] == "table"), None)
+        for x in reversed(self.open):
+            if x[0] == "table":
+                return x[1]
+        return None
 
-    def inner(self, *tags):
-        return next((x[1] for x in reversed(self.open) if x[0] in tags and x[1]), None)
+    def inner(self, tag):
+        for x in reversed(self.open):
+            if x[0] == tag and x[1]:
+                return x[1]
+        return None
 
     def finish(self, tag, node, a):
-        if tag in ("script", "style"):
+        if tag in RAW:
             self.hidden -= 1
             return
         self.headers -= tag in ("title", "head")
-        if node and "sink" in node:
+        if not node:
+            return
+        if "sink" in node:
             value = self.clean(node["sink"])
-            self.sinks = [s for s in self.sinks if s is not node["sink"]]
+            if self.sinks[-1] is node["sink"]:
+                self.sinks.pop()
+            else:
+                self.sinks = [s for s in self.sinks if s is not node["sink"]]
             row = self.inner("tr")
             if tag == "a" and "href" in a:
                 self.links.append({"href": a["href"], "text": value, "title": a.get("title")})
@@ -144,9 +227,9 @@ class _Page(HTMLParser):
                 self.out["heading"] = value
             elif tag == "title":
                 self.out["title"] = self.out["title"] or value
-            if "stats" in a.get("class", "").split() and self.out["stats"] is None:
+            if a and self.out["stats"] is None and "stats" in a.get("class", "").split():
                 self.out["stats"] = value
-        elif tag == "tr" and node is not None:
+        elif tag == "tr":
             table = self.table()
             if table["detail"]:
                 key, value = (node["heads"] or [None])[0], (node["cells"] or [None])[0]
@@ -176,8 +259,10 @@ class _Page(HTMLParser):
 
 def parse_html(html: str | None) -> dict:
     page = _Page()
-    page.feed(html or "")
-    page.close()
+    if not page.plain(html or ""):
+        page = _Page()
+        page.feed(html)
+        page.close()
     return page.result()
 
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import random
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -128,3 +129,22 @@ def test_lot_list_completeness(spark):
     pages_ = spark.createDataFrame(rows, "notice string, page int, lot string, total int")
     got = {r.notice: r.status for r in C.lot_completeness(pages_, "notice", "lot", "page", "total").collect()}
     assert got == {"a": "ok", "b": "repeated_page", "c": "short", "d": "unknown"}
+
+
+def test_plain_markup_is_read_as_the_standard_parser_reads_it():
+    """Without the standard parser for the pages of the portal, and with the same results on odd ones."""
+
+    def standard(page):
+        p = B._Page()
+        p.feed(page)
+        p.close()
+        return p.result()
+
+    for page in (LIST, BY_KIND, DETAIL):
+        assert B._Page().plain(page) and B.parse_html(page) == standard(page)
+    bits = ["<td>", "</td>", "<tr>", "</TR>", '<table class="detail-view">', "</table>", "<th>", "<a href='/x?a=1&amp;b=2&copy=3'>", "</a>", "<script>", "</script>", "</p>", "<style>", "</style >", "a & b &amp", "<!-- c -->", "<!--->", "<!-- a--b -->"]
+    bits += ["<!DOCTYPE html>", "<br/>", "<p class=stats>", '<p class="stats x">', "<h3>", "</h3>", "<", "</", "<a/>", '<script src="x"/>', 'x = "</p>";', "</ p>", "<?pi?>", "<title>", "</title>", '<a title="t>u">', "\xa0"]
+    rng = random.Random(3)
+    for _ in range(5000):
+        page = "".join(rng.choice(bits) for _ in range(rng.randrange(25)))
+        assert B.parse_html(page) == standard(page), page
