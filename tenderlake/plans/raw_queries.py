@@ -1,5 +1,6 @@
 """Sources, page and JSON parsing, and batch twins of the streams on the driver's tables, with their SQL where it can follow."""
 
+import html
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -70,11 +71,29 @@ def export_notices(t):
     return out.select("source", "source_entity_id", "status", "total_amount", "title_ru")
 
 
+def _unescaped(rows: str) -> str:
+    """SQL: key and text of ``rows`` (key, x) with all character references as HTML 5 reads them: numbers, names, and old names without their semicolon before any text."""
+    from html import entities
+
+    text = lambda x: "'" + x.replace("'", "''") + "'" if x.isprintable() else "concat(" + ", ".join(f"chr({ord(c)})" for c in x) + ")"
+    names = ", ".join(f"({text(k)}, {text(v)})" for k, v in entities.html5.items())
+    odd = " ".join(f"WHEN {k} THEN {text(v) if v else repr(v)}" for k, v in html._invalid_charrefs.items())
+    gone = ", ".join(map(str, sorted(html._invalid_codepoints)))
+    return f"""names AS (SELECT name, said FROM (VALUES {names}) AS v(name, said)), rows AS ({rows}),
+    parts AS (SELECT key, unnest(string_split(x, '&')) AS p, generate_subscripts(string_split(x, '&'), 1) AS i FROM rows),
+    cut AS (SELECT *, regexp_extract(p, '^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{{1,32}};?)', 1) AS r FROM parts WHERE i > 1),
+    named AS (SELECT key, i, max_by(said, len) AS said, max(len) AS len FROM (SELECT key, i, said, length(name) AS len FROM (SELECT key, i, r, unnest(generate_series(2, length(r))) AS n FROM cut WHERE r NOT LIKE '#%') JOIN names ON name = left(r, n)) GROUP BY key, i),
+    digits AS (SELECT key, i, length(r) AS len, ltrim(regexp_replace(r, '[#xX;]', '', 'g'), '0') AS d, r[2] IN ('x', 'X') AS hex FROM cut WHERE r LIKE '#%'),
+    coded AS (SELECT key, i, len, CASE WHEN length(d) > CASE WHEN hex THEN 6 ELSE 7 END THEN 1114112 WHEN d = '' THEN 0 WHEN hex THEN CAST('0x' || d AS INTEGER) ELSE CAST(d AS INTEGER) END AS code FROM digits),
+    numbered AS (SELECT key, i, len, CASE code {odd} ELSE CASE WHEN code BETWEEN 55296 AND 57343 OR code > 1114111 THEN chr(65533) WHEN code IN ({gone}) THEN '' ELSE chr(code) END END AS said FROM coded),
+    found AS (SELECT * FROM (SELECT key, i, said, len FROM named) UNION ALL SELECT key, i, said, len FROM numbered),
+    unescaped AS (SELECT key, string_agg(CASE WHEN i = 1 THEN p WHEN said IS NULL THEN '&' || p ELSE said || substr(p, len + 1) END, '' ORDER BY i) AS x FROM parts LEFT JOIN found USING (key, i) GROUP BY key)"""
+
+
 @query(
     "b1_visible_text",
-    """WITH bare AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->|<head[ >].*?</head>|<script.*?</script>|<style.*?</style>', ' ', 'g'), '<[^>]*>', ' ', 'g') AS x FROM pages),
-    said AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(x, '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', ' '), '&amp;', '&') AS x FROM bare),
-    whole AS (SELECT page_id, nullif(trim(regexp_replace(replace(x, chr(160), ' '), '\\s+', ' ', 'g')), '') AS text FROM said)
+    f"""WITH {_unescaped("SELECT page_id AS key, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->|<head[ >].*?</head>|<script.*?</script>|<style.*?</style>', ' ', 'g'), '<[^>]*>', ' ', 'g') AS x FROM pages")},
+    whole AS (SELECT key AS page_id, nullif(trim(regexp_replace(replace(x, chr(160), ' '), '\\s+', ' ', 'g')), '') AS text FROM unescaped)
     SELECT page_id, CAST(length(text) AS INTEGER) AS n_chars, sha256(text) AS text_sha256 FROM whole""",
 )
 def visible_text(t):
@@ -83,7 +102,8 @@ def visible_text(t):
 
 @query(
     "b3_page_heads",
-    "SELECT page_id, trim(regexp_replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')) AS title FROM pages",
+    f"""WITH {_unescaped("SELECT page_id AS key, regexp_extract(html, '<title>([^<]*)</title>', 1) AS x FROM pages")}
+    SELECT key AS page_id, nullif(trim(regexp_replace(replace(x, chr(160), ' '), '\\s+', ' ', 'g')), '') AS title FROM unescaped""",
 )
 def page_heads(t):
     return B.parse_pages(t.pages).select("page_id", "title")

@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import json
 import random
 from decimal import Decimal
@@ -148,3 +149,20 @@ def test_plain_markup_is_read_as_the_standard_parser_reads_it():
     for _ in range(5000):
         page = "".join(rng.choice(bits) for _ in range(rng.randrange(25)))
         assert B.parse_html(page) == standard(page), page
+
+
+def test_sql_of_pages_reads_character_references_alike():
+    """Names with and without a semicolon, longest names, numbers of any size, and what is none."""
+    import duckdb
+
+    from tenderlake.plans.raw_queries import SQL
+
+    refs = ["a &amp", "&ampx", "&amp;lt;", "&notin; &notit; &not", "&quot;q&quot;", "&#65;&#x41 &#X1F600;", "&#0;&#128;&#xD800;&#1114112;&#99999999999;&#1;", "&", "&&", "& x", "&;", "&unknown;", "&copy2", "x&nbsp;&nbsp", "&#;&#x;", "&ltimes;", "&#000065;", "it's", ""]
+    pages = [(i, f"<html><head><title>{r}</title></head><body><p>b {r}</p></body></html>") for i, r in enumerate(refs)] + [(len(refs), "<p>no title</p>")]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE pages (page_id BIGINT, html VARCHAR)")
+    db.executemany("INSERT INTO pages VALUES (?, ?)", pages)
+    own = {i: B.parse_html(page) for i, page in pages}
+    assert dict(db.execute(SQL["b3_page_heads"]).fetchall()) == {i: p["title"] for i, p in own.items()}
+    hashes = {i: (len(p["text"]), hashlib.sha256(p["text"].encode()).hexdigest()) for i, p in own.items()}
+    assert {i: (n, h) for i, n, h in db.execute(SQL["b1_visible_text"]).fetchall()} == hashes
