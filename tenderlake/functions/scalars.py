@@ -6,6 +6,7 @@ under ANSI mode.
 
 import json
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -67,12 +68,20 @@ def clean_text(c: Column) -> Column:
     return F.nullif(F.trim(F.regexp_replace(c, r"(?U)[\s ]+", " ")), F.lit(""))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def parse_decimal(c: Column, kind: str = "decimal(24,6)") -> Column:
     """A number with grouping and a decimal point or comma; with both, the comma is the decimal sign."""
-    kept = F.regexp_replace(c, r"(?U)[^\d,.\-]", "")
-    comma, point = F.contains(kept, F.lit(",")), F.contains(kept, F.lit("."))
-    plain = F.when(comma & point, F.translate(kept, ".,", "\0.")).otherwise(F.translate(kept, ",", "."))
-    return F.replace(plain, F.lit("\0"), F.lit("")).try_cast(kind)
+
+    def read(kept: Column) -> Column:
+        comma, point = F.contains(kept, F.lit(",")), F.contains(kept, F.lit("."))
+        plain = F.when(comma & point, F.translate(kept, ".,", "\0.")).otherwise(F.translate(kept, ",", "."))
+        return F.replace(plain, F.lit("\0"), F.lit("")).try_cast(kind)
+
+    return bound(F.regexp_replace(c, r"(?U)[^\d,.\-]", ""), read)
 
 
 def lenient_decimal(c: Column, kind: str = "decimal(24,6)") -> Column:

@@ -334,8 +334,13 @@ def page_links(parsed: DataFrame, self_identity: DataFrame, base: str, source: s
 def cost_fields(line: Column) -> Column:
     """'price CUR x quantity unit = total CUR' as struct<unit_price, quantity, unit, total_amount, currency>."""
     pattern = r"(?U)([\d\s,.]+)\s*([A-Z]{3})\s*x\s*([\d\s,.]+)\s+(.+?)\s*=\s*([\d\s,.]+)\s*([A-Z]{3})"
-    g = lambda i: F.regexp_extract(line, pattern, i)
-    return F.when(line.rlike(pattern), F.struct(scalars.parse_decimal(g(1)).alias("unit_price"), scalars.parse_decimal(g(3)).alias("quantity"), F.nullif(F.trim(g(4)), F.lit("")).alias("unit"), scalars.parse_decimal(g(5)).alias("total_amount"), g(2).alias("currency")))
+    # the groups of the first match at once; the unit is last, as only it can hold the separator
+    groups = F.split(F.regexp_replace(line, rf"\A[\s\S]*?{pattern}[\s\S]*\z", "$1\x1f$2\x1f$3\x1f$5\x1f$4"), "\x1f", 5)
+
+    def read(g: Column) -> Column:
+        return F.struct(scalars.parse_decimal(g[0]).alias("unit_price"), scalars.parse_decimal(g[2]).alias("quantity"), F.nullif(F.trim(g[4]), F.lit("")).alias("unit"), scalars.parse_decimal(g[3]).alias("total_amount"), g[1].alias("currency"))
+
+    return F.when(line.rlike(pattern), scalars.bound(groups, read))
 
 
 def prepayment_percent(line: Column) -> Column:

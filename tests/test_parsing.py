@@ -166,3 +166,12 @@ def test_sql_of_pages_reads_character_references_alike():
     assert dict(db.execute(SQL["b3_page_heads"]).fetchall()) == {i: p["title"] for i, p in own.items()}
     hashes = {i: (len(p["text"]), hashlib.sha256(p["text"].encode()).hexdigest()) for i, p in own.items()}
     assert {i: (n, h) for i, n, h in db.execute(SQL["b1_visible_text"]).fetchall()} == hashes
+
+
+def test_cost_lines_are_matched_once_for_all_groups(spark):
+    lines = ["x 5 KZT x 2.5 a\x1fb = 3,0 USD = 1 EUR z", "a\n1.234,5 KZT x 1,234.56 шт. = 2 KZT tail 3 KZT x 4 u = 5 KZT", "$1 5KZTx 1 $2 \\ = 2KZT", "5 KZT x 1 a\nb = 2 KZT", None]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string").select("i", B.cost_fields(F.col("line")).alias("c"))
+    got = {r.i: r.c and (*map(float, (r.c.unit_price, r.c.quantity, r.c.total_amount)), r.c.unit, r.c.currency) for r in rows.collect()}
+    assert got == {0: (5.0, 2.5, 3.0, "a\x1fb", "KZT"), 1: (1234.5, 1.23456, 2.0, "шт.", "KZT"), 2: (15.0, 1.0, 2.0, "$2 \\", "KZT"), 3: None, 4: None}
+    plan = rows.select("i", "c.*")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[A-Z]{3}") <= 4  # twice in a pattern: whether it matches, and its groups
