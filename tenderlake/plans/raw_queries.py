@@ -214,7 +214,7 @@ def documents_first_wins(t):
 
 @query("c12_organizations", "SELECT CAST(c_custkey AS VARCHAR) AS source_entity_id, c_name AS name_ru, concat(r_name, ', ', n_name) AS address FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey")
 def organizations(t):
-    rows = t.customer.join(t.nation, F.col("n_nationkey") == F.col("c_nationkey")).join(t.region, F.col("r_regionkey") == F.col("n_regionkey"))
+    rows = t.spread(t.customer, "c_custkey").join(t.nation, F.col("n_nationkey") == F.col("c_nationkey")).join(t.region, F.col("r_regionkey") == F.col("n_regionkey"))
     legal = F.struct(F.col("r_name").alias("countryRu"), F.lit(" ").alias("katoNameRu"), F.col("n_name").alias("street"))
     body = F.to_json(F.struct(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("nameRu"), legal.alias("legalAddress")).alias("customer")))
     return rows.select(C.organization(body, "https://portal.example", "customer").alias("o")).select("o.source_entity_id", "o.name_ru", "o.address")
@@ -234,7 +234,7 @@ def payment_terms(t):
     value = F.when(F.col("event_type") == "click", F.get_json_object("props", "$.k"))
     conditions = F.array(F.struct(F.lit("PREPAY").alias("paymentType"), F.lit("5").alias("value")), F.struct(kind.alias("paymentType"), value.alias("value")))
     body = F.to_json(F.struct(F.lit(70).alias("finalPaymentPercent"), conditions.alias("paymentConditionList")), {"ignoreNullFields": "false"})
-    return t.events.select("event_id", C.payment_terms(body).alias("p")).select("event_id", F.col("p.prepayment_percent").cast("string").alias("prepayment_percent"), F.col("p.final_percent").cast("string").alias("final_percent"))
+    return t.spread(t.events, "event_id").select("event_id", C.payment_terms(body).alias("p")).select("event_id", F.col("p.prepayment_percent").cast("string").alias("prepayment_percent"), F.col("p.final_percent").cast("string").alias("final_percent"))
 
 
 @query("c15_delivery_schedule", "SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN concat('С даты подписания договора в течение ', p_size, ' рабочих дней') WHEN 1 THEN concat('С ', p_size, ' по ', p_size + 1) ELSE concat('С даты подписания договора по (включительно) ', p_size) END AS terms FROM part")

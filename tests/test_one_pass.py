@@ -28,6 +28,11 @@ def test_texts_are_not_searched_key_by_key(spark, sf_dir, name, most):
     assert plan(registry.queries()[name](spark, sf_dir)).count("get_json_object(") <= most
 
 
+@pytest.mark.parametrize("name", ["c12_organizations", "c14_payment_terms"])
+def test_small_files_are_read_by_all_cores(spark, sf_dir, name):
+    assert "Repartition" in plan(registry.queries()[name](spark, sf_dir))
+
+
 def test_of_equal_keys_the_last_counts(spark):
     docs = ['{"customer":{"id":1,"id":2,"nameRu":"a","nameRu":"b"},"paymentConditionList":[{"paymentType":"PREPAY","value":1,"value":"2,5"}],"goodsAttributeList":[{"nameRu":"x","nameRu":"y"}]}']
     b = F.col("body")
