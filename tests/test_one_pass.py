@@ -59,3 +59,21 @@ def test_a_walk_hands_on_bounded_slices():
     assert all(b.num_rows <= C.SLICE_ROWS and b.nbytes <= C.SLICE_CHARS + 2_000_000 for b in out) and len(out) > 4
     rows = [tuple(r.values())[:2] for b in out for r in b.to_pylist()]
     assert rows == [("a", i) for i in range(6000)] + [("d", i) for i in range(9)] + [("e", 0)]
+
+
+def test_children_stream_past_the_keys_of_their_owners(spark):
+    """Children of replaced owners are not sorted, so a task's memory does not follow them; rows without a key stay."""
+    from tenderlake.operators import merge as E
+
+    old = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k long, v string")
+    fresh = spark.createDataFrame([(1, "x"), (3, "y"), (None, "z")], "k long, v string")
+    owners = spark.createDataFrame([(1,), (1,), (None,), (4,)], "k long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = E.replace_children(old, fresh, owners, ["k"])
+        shape = rows._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, rows.collect())) == sorted(["Row(k=1, v='x')", "Row(k=2, v='c')", "Row(k=None, v='d')"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert shape.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in shape
