@@ -77,3 +77,24 @@ def test_children_stream_past_the_keys_of_their_owners(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert shape.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in shape
+
+
+@pytest.mark.parametrize("name", ["f5_export_entity_relations", "f12_chains"])
+def test_relations_join_by_typed_keys(spark, sf_dir, name):
+    """No join computes or sorts texts of keys."""
+    joins = [line for line in plan(registry.queries()[name](spark, sf_dir)).splitlines() if "Join Inner" in line]
+    assert joins and not [line for line in joins if any(c in line.split("Join Inner")[1] for c in ("_id#", "parent#", "child#"))]
+
+
+def test_chains_are_whole(spark, sf_dir):
+    read = lambda table, *columns: [tuple(r) for r in spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns).collect()]
+    from tenderlake.plans.tables import Tables
+
+    lots = [tuple(r) for r in Tables(spark, sf_dir).lot().select("l_partkey", "l_orderkey", "source_entity_id", "status").collect()]
+    titles, states, of_order = dict(read("part", "p_partkey", "p_name")), dict(read("orders", "o_orderkey", "o_orderstatus")), {}
+    for _, order, lot, status in lots:
+        of_order.setdefault(order, []).append((lot, status))
+    want = [(str(p), titles[p], str(o), states[o], *x) for p, o in {x[:2] for x in lots} if p in titles and o in states for x in of_order[o]]
+    rows = registry.queries()["f12_chains"](spark, sf_dir)
+    assert rows.columns == ["lot_id", "notice_id", "plan_id", "plan_title", "notice_status", "lot_status"]
+    assert sorted(tuple(r) for r in rows.select("plan_id", "plan_title", "notice_id", "notice_status", "lot_id", "lot_status").collect()) == sorted(want)
