@@ -55,3 +55,27 @@ def test_short_lines_are_compared(spark):
 def test_lines_of_the_table(spark, sf_dir):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, line_dedup.query(spark, sf_dir).collect())) == sorted(brute.line_dedup(docs))
+
+
+def test_candidates_do_not_grow_with_the_shards(spark, monkeypatch):
+    cores, k = spark.sparkContext.defaultParallelism, 3
+    docs = [(i, f"a b c{i % 7} d{i % 11}") for i in range(30 * cores)]
+    asked = [(d, t) for d, t in docs if d % 20 == 0]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3 * cores)
+    left, plain = [], search._found
+    monkeypatch.setattr(search, "TASKS", 1, raising=False)
+    monkeypatch.setattr(search, "_found", lambda *a: left.append(plain(*a).count()) or plain(*a))
+    got = search.top_k(frame, frame.where("doc_id % 20 = 0"), k=k, query_id="doc_id").collect()
+    assert sorted((x.query_id, x.rank, x.doc_id, round(x.score, 6)) for x in got) == sorted(brute_search(docs, asked, k))
+    assert 0 < left[0] <= len(asked) * k * cores  # and not once for each of the shards
+
+
+def test_an_index_is_read_as_it_was_built():
+    r = np.random.default_rng(3)
+    doc = np.sort(r.integers(0, 300, 5000))
+    hashes = (r.zipf(1.3, 5000) % 400).astype(np.uint64)
+    built, some = search.Shard(np.arange(300) - 5, hashes, doc, 16.0, 64), np.arange(0, 400, 3).astype(np.uint64)
+    read = search.Shard.of_row(built.row(), some, 16.0, 64)
+    keep = np.repeat(np.isin(built.terms, some), built.end - built.start)
+    assert np.array_equal(read.ids, built.ids) and np.array_equal(read.terms, built.terms[np.isin(built.terms, some)])
+    assert np.array_equal(read.doc, built.doc[keep]) and np.array_equal(read.impact, built.impact[keep])
