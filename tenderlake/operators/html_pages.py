@@ -325,8 +325,11 @@ def page_links(parsed: DataFrame, self_identity: DataFrame, base: str, source: s
     self_identity: page_id, entity_type, source_entity_id.
     """
     links = parsed.select("page_id", F.posexplode("links").alias("at", "link")).withColumn("child", identity_of(F.col("link.href"), base, source)).where("child is not null")
-    links = links.groupBy("page_id", F.col("child.entity_type").alias("child_type"), F.col("child.source_entity_id").alias("child_id")).agg(F.min_by("link.text", "at").alias("business_number"), F.min_by("child.canonical_url", "at").alias("canonical_url"))
-    out = links.join(self_identity.withColumnsRenamed({"entity_type": "parent_type", "source_entity_id": "parent_id"}), "page_id").where("child_type <> parent_type or child_id <> parent_id")
+    # dealt by the page once, for the grouping and the join
+    links = links.repartition("page_id").groupBy("page_id", F.col("child.entity_type").alias("child_type"), F.col("child.source_entity_id").alias("child_id")).agg(F.min_by("link.text", "at").alias("business_number"), F.min_by("child.canonical_url", "at").alias("canonical_url"))
+    # Spark takes parsed pages for as small as their rows without the lists in them and would send all links through the driver
+    own = self_identity.withColumnsRenamed({"entity_type": "parent_type", "source_entity_id": "parent_id"}).hint("merge")
+    out = links.join(own, "page_id").where("child_type <> parent_type or child_id <> parent_id")
     labels = F.create_map(*[F.lit(x) for pair in EDGE_TYPES.items() for x in pair])
     return out.withColumn("relation_type", F.try_element_at(labels, F.concat_ws(">", "parent_type", "child_type"))).withColumn("priority", F.lit(10))
 
